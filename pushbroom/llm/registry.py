@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import tokens
+from . import tokens, url_rules, warc
+from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
 VOCABULARY = "byte_bpe_50k.json"
@@ -26,8 +28,56 @@ def op1_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(spark, table(spark, sf_dir, "documents"), vocabulary())
 
 
+#: Fixed values of the query: verdict and rule.
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [url_rules.rule(*r) for r in URL_RULES]
+    judged = url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
+    path = Workspace(spark, "warc").folder("archives")
+    warc.write_warc(spark, pages, path)
+    return warc.read_warc(spark, path, payloads=False).drop("url", "payload")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_binary": op1_token_binary,
+    "op2_url_filter": op2_url_filter,
+    "op5_warc": op5_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": """
+        WITH parts AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+        ), cut AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts
+        ), rules(verdict, rhost, rpath) AS (
+            VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+        ), fits AS (
+            SELECT page_id, max_by(rhost || rpath, length(rhost || rpath)) AS rule, max_by(verdict, length(rhost || rpath)) AS verdict
+            FROM cut JOIN rules ON (host = rhost OR host LIKE '%.' || rhost) AND starts_with(path, rpath) GROUP BY page_id
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM cut LEFT JOIN fits USING (page_id)
+    """,
+    "op5_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+        h AS (SELECT page_id, octet_length(payload) AS n, unhex(sha1(payload)) AS d FROM p),
+        m AS (SELECT page_id, n, d, min(page_id) OVER (PARTITION BY d, n) AS f FROM h)
+        SELECT page_id, n::BIGINT AS payload_bytes, (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ('0b' || substr(b, 5 * i + 1, 5))::INT, 1), '' ORDER BY i) FROM (SELECT d::BIT::VARCHAR AS b), range(32) t(i)) AS payload_digest,
+            CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
+        FROM m
+    """,
+}
