@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import tokens, url_rules, warc
+from . import mixing, tokens, url_rules, warc
 from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
@@ -44,6 +44,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(spark, table(spark, sf_dir, "documents")).drop("copies")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
     path = Workspace(spark, "warc").folder("archives")
@@ -54,6 +58,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_binary": op1_token_binary,
     "op2_url_filter": op2_url_filter,
+    "op3_source_mix": op3_source_mix,
     "op5_warc": op5_warc,
 }
 
@@ -72,6 +77,33 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM cut LEFT JOIN fits USING (page_id)
     """,
+    "op3_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656::DOUBLE AS u
+            FROM documents
+        ), s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM s),
+        o AS (
+            SELECT *, 1.5::DOUBLE * sum(source_size) OVER () - 2::DOUBLE * coalesce(sum(source_size) OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+                sum(weight) OVER (r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS of_
+            FROM w WINDOW r AS (ORDER BY source_size::DOUBLE / weight, source NULLS LAST)
+        ), c AS (SELECT *, weight * left_ >= 2::DOUBLE * source_size * of_ AS capped FROM o),
+        l AS (SELECT left_ AS l, of_ AS o FROM c WHERE NOT capped ORDER BY source_size::DOUBLE / weight, source NULLS LAST LIMIT 1),
+        t AS (SELECT source, source_size, CASE WHEN capped THEN 2::DOUBLE * source_size ELSE weight * l / o END AS target FROM c LEFT JOIN l ON true),
+        f AS (
+            SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(floor(target / source_size), 2) END::BIGINT AS whole,
+                CASE WHEN source_size = 0 OR floor(target / source_size) >= 2 THEN 0 ELSE target - floor(target / source_size) * source_size END AS rest FROM t
+        ), q AS (
+            SELECT doc_id, size, d.source, source_size, target, whole, rest, u, CASE WHEN rest > 0 THEN rest / source_size ELSE 0 END AS f FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
+        ), g AS (
+            SELECT *, f > 0 AND 2 * coalesce(sum(size) OVER (PARTITION BY source ORDER BY (u / (1 - u)) / (CASE WHEN f > 0 THEN f END / (1 - f)), doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size <= 2 * rest AS hit FROM q
+        ), p AS (SELECT *, rest - sum(CASE WHEN hit THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap FROM g),
+        k AS (
+            SELECT *, CASE WHEN f > 0 AND abs(gap) > abs(abs(gap) - size) AND hit = (gap < 0) THEN abs(abs(gap) - size) END AS off FROM p
+        ), n AS (SELECT *, off IS NOT NULL AND row_number() OVER (PARTITION BY source ORDER BY off NULLS LAST, u, doc_id, size) = 1 AS swap FROM k)
+        SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN size * (whole + (hit <> swap)::BIGINT) ELSE 0 END AS taken FROM n
+    """,
     "op5_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
         h AS (SELECT page_id, octet_length(payload) AS n, unhex(sha1(payload)) AS d FROM p),
