@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, tokens, url_rules, warc
+from . import decontaminate, line_runs, mixing, tokens, url_rules, warc
 from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
@@ -55,11 +55,21 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, payloads=False).drop("url", "payload")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_runs.dedup_lines(spark, table(spark, sf_dir, "documents"), texts=False)
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_binary": op1_token_binary,
     "op2_url_filter": op2_url_filter,
     "op3_source_mix": op3_source_mix,
     "op5_warc": op5_warc,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -112,4 +122,25 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> f THEN f END AS refers_to
         FROM m
     """,
+    "op7_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, p, line, lower_az AS key, length(lower_az) >= 20 AS counted
+            FROM (SELECT doc_id, p, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_az
+                FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents))
+        ), c AS (SELECT key, max(doc_id) AS last FROM l WHERE counted GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+        m AS (SELECT l.*, counted AND c.key IS NOT NULL AND doc_id <> last AS gone FROM l LEFT JOIN c USING (key))
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id
+    """,
+    "op8_decontaminate": r"""
+        WITH w AS (
+            SELECT 'd' AS side, doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+            UNION ALL SELECT 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') FROM benchmark
+        ), s AS (SELECT DISTINCT side, id, array_to_string(w[p:p+4], ' ') AS g FROM w, LATERAL (SELECT unnest(range(1, len(w) - 3)) AS p) WHERE len(w) >= 5),
+        n AS (SELECT id, count(*) AS n FROM s WHERE side = 'b' GROUP BY id)
+        SELECT d.id AS doc_id, b.id AS item_id, any_value(n)::BIGINT AS n_shingles, count(*)::DOUBLE / any_value(n) AS containment
+        FROM s d JOIN s b ON d.g = b.g AND d.side = 'd' AND b.side = 'b' JOIN n ON n.id = b.id
+        GROUP BY d.id, b.id HAVING count(*) >= 0.8 * any_value(n)
+    """,
 }
