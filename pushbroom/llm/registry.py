@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_runs, mixing, tokens, url_rules, warc
+from . import decontaminate, language, line_runs, mixing, quality, tokens, url_rules, warc
 from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
@@ -63,6 +63,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.classify(spark, docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_binary": op1_token_binary,
     "op2_url_filter": op2_url_filter,
@@ -70,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality": op9_quality,
+    "op10_language": op10_language,
 }
 
 ORACLE_SQL: dict[str, str] = {
