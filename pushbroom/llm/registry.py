@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_runs, mixing, quality, tokens, url_rules, warc
+from . import decontaminate, language, line_runs, mixing, partenum, quality, tokens, url_rules, warc
 from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
@@ -55,6 +55,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_warc(spark, path, payloads=False).drop("url", "payload")
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.jaccard_classes(spark, table(spark, sf_dir, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.dedup_lines(spark, table(spark, sf_dir, "documents"), texts=False)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_url_filter": op2_url_filter,
     "op3_source_mix": op3_source_mix,
     "op5_warc": op5_warc,
+    "op6_jaccard": op6_jaccard,
     "op7_line_dedup": op7_line_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
