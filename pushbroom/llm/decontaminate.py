@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shingles import WordHashes, shingle_hashes, words
+from .shingles import shingle_hashes, word_hashes, words
 from .store import bound_arrow
 
 WORDS, THRESHOLD, MISS = 5, 0.8, 1e-9
@@ -58,7 +58,7 @@ class Items:
     """A block of test items, partitioned by shingle length and size class."""
 
     def __init__(self, items: list[tuple[int, str | None]], k: int, threshold: float):
-        self.k, self.threshold, self.hash = k, threshold, WordHashes()
+        self.k, self.threshold, self.hash = k, threshold, word_hashes()
         self.words = {n: words(t) for n, (_, t) in enumerate(items)}
         self.ids = [i for i, _ in items]
         self.classes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = defaultdict(list)

@@ -11,6 +11,7 @@ The fit uses a bounded sample of training segments, ``SEGMENTS`` of each languag
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -248,6 +249,18 @@ class Labeller:
         return out
 
 
+_KEPT: dict[bytes, Labeller] = {}
+
+
+def _labeller(model: Model) -> Labeller:
+    """The worker process's labeller of a model; its tasks share what it remembers, and another model's is forgotten."""
+    key = hashlib.sha1(model.weights.tobytes() + model.trans.tobytes() + "\n".join(model.lexicon).encode()).digest()
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Labeller(model)
+    return _KEPT[key]
+
+
 def fit(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2, segments: int = SEGMENTS) -> Model:
     """Learns from text and non-null lang of documents outside the held-out fold.
 
@@ -279,7 +292,7 @@ def label(spark: SparkSession, docs: DataFrame, model: Model, column: str = "tex
 def _predictor(model: Model):
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(model)
+        labeller = _labeller(model)
         for t in texts:
             sums = labeller(t.tolist()) if model.langs else np.zeros((len(t), 1))
             total = sums.sum(1)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .blocks import forest, grouped, own_pairs
 from .components import connected_components
-from .shingles import WordHashes, mix, shingle_hashes, words
+from .shingles import mix, shingle_hashes, word_hashes, words
 from .store import Workspace, bound_arrow, partitions
 
 SEEDS, PAIRS = 5, ((0, 1), (0, 2), (1, 2))
@@ -99,7 +99,7 @@ def set_table(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, n, h1, h2): size and 128-bit hash of each row's shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = word_hashes()
         for b in batches:
             sets = [shingle_hashes(known(words(t.as_py())), k) for t in b.column(1)]
             h1 = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
@@ -128,7 +128,7 @@ def candidates(docs: DataFrame, k: int, percent: int, n_parts: int) -> DataFrame
     """(a, b): edges whose components hold every pair of documents that share a signature."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bands = WordHashes(), Bands(percent)
+        known, bands = word_hashes(), Bands(percent)
         sigs, ids, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
@@ -211,7 +211,7 @@ def element_table(rows: DataFrame, k: int) -> DataFrame:
     rest = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[1:]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = word_hashes()
         for b in batches:
             made = pa.array([shingle_hashes(known(words(t.as_py())), k).tobytes() for t in b.column(0)], pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns[1:], made], [*b.schema.names[1:], "elements"])

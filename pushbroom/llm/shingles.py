@@ -6,6 +6,8 @@ a-z. Those are the rules of ``bytes.split`` and ``bytes.lower``.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import xxhash
 
@@ -40,6 +42,12 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, ws), dtype=np.uint64, count=len(ws))
 
 
+@functools.cache
+def word_hashes() -> WordHashes:
+    """The worker process's own hashes, which its tasks share."""
+    return WordHashes()
+
+
 def shingle_hashes(h: np.ndarray, k: int, whole: bool = True) -> np.ndarray:
     """Sorted distinct hashes of the ``k``-word shingles of a text with word hashes ``h``.
 
