@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_runs, mixing, partenum, quality, tokens, url_rules, warc
+from . import decontaminate, embeddings, language, line_runs, mixing, partenum, quality, tokens, url_rules, warc
 from .store import Workspace
 
 #: The vocabulary's file; a parameter of the operator, never copied here.
@@ -48,6 +48,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark, table(spark, sf_dir, "embeddings"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", F.col("html").cast("binary").alias("payload"))
     path = Workspace(spark, "warc").folder("archives")
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_binary": op1_token_binary,
     "op2_url_filter": op2_url_filter,
     "op3_source_mix": op3_source_mix,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_warc": op5_warc,
     "op6_jaccard": op6_jaccard,
     "op7_line_dedup": op7_line_dedup,
@@ -131,6 +136,15 @@ ORACLE_SQL: dict[str, str] = {
         ), n AS (SELECT *, off IS NOT NULL AND row_number() OVER (PARTITION BY source ORDER BY off NULLS LAST, u, doc_id, size) = 1 AS swap FROM k)
         SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN size * (whole + (hit <> swap)::BIGINT) ELSE 0 END AS taken FROM n
     """,
+    "op4_embedding_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+        ), link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a),
+        comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM comp
+    """,
     "op5_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
         h AS (SELECT page_id, octet_length(payload) AS n, unhex(sha1(payload)) AS d FROM p),
