@@ -60,8 +60,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return s.select("source", "source_size", "docs", target.alias("target"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) for each row of ``docs`` (doc_id, text, source); other columns are ignored.
+def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, and source where ``keep`` names it) for each row of ``docs`` (doc_id, text, source); other columns are ignored.
 
     Null and empty texts have size 0 and are never taken; a source of such documents has target 0. The null source is a source.
     Rows that repeat a doc_id draw the same number and are ordered by size; equal rows may trade places. A null
@@ -107,4 +107,17 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     out = with_sources(d, best)
     hit = F.when(F.col("row") == F.col("swap"), ~F.col("hit")).otherwise(F.col("hit"))
     copies = F.when(F.col("size") > 0, F.coalesce(F.col("whole"), F.lit(0)) + hit.cast("long")).otherwise(F.lit(0).cast("long"))
-    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"))
+    return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), *keep)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` with all their columns, each as often as ``mix`` takes it.
+
+    Rows that agree in doc_id, source and size are taken equally often.
+    """
+    key = ["doc_id", "source", "size"]
+    taken = mix(spark, docs, weights, share, cap, seed, keep=("source",)).where("copies > 0").groupBy(*key).agg(F.max("copies").alias("copies"))
+    taken = taken.select(*(F.col(c).alias(f"_{c}") for c in (*key, "copies")))
+    rows = docs.withColumn("_words", n_words(F.col("text")))
+    same = rows["doc_id"].eqNullSafe(taken["_doc_id"]) & rows["source"].eqNullSafe(taken["_source"]) & (F.col("_words") == F.col("_size"))
+    return rows.join(taken, same).select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("col")
