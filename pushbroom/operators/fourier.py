@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.workers import importable
+
 
 def _fill(mask: np.ndarray, corners: list[tuple[int, int]]) -> None:
     """Zeroes the pixels inside a triangle of (x, y) corners and those that its edges pass through."""
@@ -57,6 +59,8 @@ def filtered(image: np.ndarray, mask: np.ndarray) -> np.ndarray:
 def spectrum_at(cube: DataFrame, band: int, **thresholds: float) -> DataFrame:
     """(product_id, v, u, decibels): masked log magnitudes of one band's shifted spectrum, to tune thresholds by."""
 
+    importable(cube.sparkSession)
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         image = pdf.pivot(index="y", columns="x", values="value").to_numpy()
         f = np.fft.fftshift(np.fft.fft2(image)) * filter_mask(*image.shape, **thresholds)
@@ -73,6 +77,7 @@ def destripe(cube: DataFrame, vthresh: float = 0.8, vtilt: float = 0.0, hthresh:
     """``cube`` (product_id, band, y, x, value) with each band's image filtered. A band with a missing value becomes NULL, as its transform would."""
     if vtilt == htilt == hthresh == 0:
         return _closed_form(cube, vthresh)
+    importable(cube.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         image = pdf.pivot(index="y", columns="x", values="value")

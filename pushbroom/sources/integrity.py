@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.workers import importable
+
 
 class ChecksumError(Exception):
     """A file is not what its label says."""
@@ -22,6 +24,7 @@ def md5(content: Column) -> Column:
 
 def file_md5(spark: SparkSession, paths: DataFrame) -> DataFrame:
     """Adds md5 to ``paths`` (path of local or mounted files), read in pieces, so files of any size do."""
+    importable(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

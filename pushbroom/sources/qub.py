@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
+from ..functions.workers import importable
 from ..operators.cube import chunk_lines
 
 SCHEMA = "product_id string, band int, y double, x double, value double"
@@ -41,7 +42,7 @@ class Block(InputPartition):
 
 class QubReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.options = options
+        self.options = {k.lower(): v for k, v in options.items()}
         self.bounds = {"band": [-np.inf, np.inf], "y": [-np.inf, np.inf], "x": [-np.inf, np.inf]}
 
     def pushFilters(self, filters: list) -> Iterable:
@@ -62,7 +63,7 @@ class QubReader(DataSourceReader):
             h = read_header(path)
             low, high = self.bounds["y"]
             first, last = max(0, int(np.ceil(max(low, 0.5) - 0.5))), int(np.floor(min(high, h["lines"] - 0.5) - 0.5))
-            step = int(self.options.get("chunkLines", 0)) or max(1, chunk_lines(h["bands"], h["samples"]))
+            step = int(self.options.get("chunklines", 0)) or max(1, chunk_lines(h["bands"], h["samples"]))
             out += [Block(path, y, min(y + step, last + 1)) for y in range(first, last + 1, step)]
         return out or [Block("", 0, 0)]
 
@@ -98,6 +99,7 @@ class QubSource(DataSource):
 
 def read_qub(spark: SparkSession, path: str, chunk: int | None = None) -> DataFrame:
     """The cube at ``path``; ``chunk`` lines a partition (by size if None)."""
+    importable(spark)
     spark.dataSource.register(QubSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("qub").options(chunkLines=chunk or 0).load(path)
