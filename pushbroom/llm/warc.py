@@ -51,7 +51,10 @@ def member(page_id: int | None, url: str | None, payload: bytes, digest: str, re
     http = _HTTP % len(payload)
     block = http if revisit else http + payload
     head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if revisit else b"response"), b"WARC-Record-ID: " + record_id(page_id, url).encode(), b"WARC-Date: 2000-01-01T00:00:00Z"]
-    head += [b"WARC-Target-URI: " + _line(url)] * (url is not None) + [b"X-Page-ID: %d" % page_id] * (page_id is not None)
+    if url is not None:
+        head.append(b"WARC-Target-URI: " + _line(url))
+    if page_id is not None:
+        head.append(b"X-Page-ID: %d" % page_id)
     head += [b"WARC-Payload-Digest: sha1:" + digest.encode(), b"X-Payload-Length: %d" % len(payload)]
     if revisit:
         head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"X-Refers-To-Page-ID: %d" % refers_to]
