@@ -269,13 +269,19 @@ def fit(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2,
     bound_arrow(spark)
     rows = docs.where((fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & (F.length("text") > 0))
     langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
+    # ids are drawn first, so only the drawn documents' segments reach the driver
+    drawn = None
+    for g in langs:
+        some = rows.where(F.col("lang") == g).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(segments)
+        drawn = some if drawn is None else drawn.unionByName(some)
+    if drawn is None:
+        return train([])
     # a document offers one segment, at a place drawn by its hash, so copies and long texts do not crowd out others
     words = F.split(F.trim("text"), r"\s+")
     at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.size(words) - SEGMENT_WORDS + 1, F.lit(1))).cast("int")
-    got = []
-    for g in langs:
-        some = rows.where(F.col("lang") == g).select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(segments)
-        got += [(g, r.t) for r in some.select(F.array_join(F.slice(words, at + 1, SEGMENT_WORDS), " ").alias("t")).collect()]
+    known = rows.select("doc_id", "lang", "text").join(F.broadcast(drawn.distinct()), "doc_id")  # at most ``segments`` ids a language
+    got = known.select("lang", F.array_join(F.slice(words, at + 1, SEGMENT_WORDS), " ").alias("t"))
+    got = [(r.lang, r.t) for r in got.collect()]
     return train(got)
 
 
