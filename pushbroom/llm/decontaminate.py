@@ -19,6 +19,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,14 +120,20 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int
     item_id order, and each block of bounded size goes to every document.
     """
     bound_arrow(spark)
+    out = None
+    for part in _blocks(items, block):
+        found = _against(docs, part, k, threshold)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _blocks(items: DataFrame, block: int) -> Iterator[list[tuple[int, str | None]]]:
+    """Blocks of (item_id, text); one empty block for no items."""
     items = items.select("item_id", F.col("text").cast("string").alias("text"))
     rows = items.count()
-    out = None
     for start in range(0, max(rows, 1), block):
         part = items if rows <= block else items.orderBy("item_id", "text").offset(start).limit(block)
-        found = _against(docs, [tuple(r) for r in part.collect()], k, threshold)
-        out = found if out is None else out.unionByName(found)
-    return out
+        yield [tuple(r) for r in part.collect()]
 
 
 def _against(docs: DataFrame, items: list[tuple[int, str | None]], k: int, threshold: float) -> DataFrame:
@@ -141,8 +148,19 @@ def _against(docs: DataFrame, items: list[tuple[int, str | None]], k: int, thres
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, item_id long, n_shingles long, containment double")
 
 
-def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose text contains no item; all columns stay."""
-    bad = contaminated(spark, docs, items, k, threshold).select("doc_id").distinct()
-    known = docs.join(bad, "doc_id", "left_anti")
-    return known
+def clean(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, block: int = BLOCK_ITEMS) -> DataFrame:
+    """The rows of ``docs`` whose text contains no item; all columns stay, and a row without a doc_id is judged like any other."""
+    bound_arrow(spark)
+    for part in _blocks(items, block):
+        docs = docs.where(~_holds(part, k, threshold)(F.col("text").cast("string")))
+    return docs
+
+
+def _holds(items: list[tuple[int, str | None]], k: int, threshold: float):
+    @F.pandas_udf("boolean")
+    def holds(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Items(items, k, threshold)
+        for t in texts:
+            yield pd.Series([bool(index.found_in(x)) for x in t], dtype=bool)
+
+    return holds
