@@ -15,15 +15,17 @@ from pushbroom.llm.store import Workspace
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from ``labels``, does not reject."""
-    scored = quality.classify(spark, docs, registry.table(spark, sf_dir, "labels"))
-    return scored.where("predicted = 1").select(docs.columns)
+    model = quality.fit(spark, docs, registry.table(spark, sf_dir, "labels"))
+    return quality.score(spark, docs, model, output="_quality").where(F.col("_quality") >= quality.THRESHOLD).drop("_quality")
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least doc_id of each group of near duplicates (five-word shingles, similarity 0.8); rows without a doc_id stay."""
     groups = partenum.jaccard_classes(spark, docs, k=5, percent=80)
     least = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(least, docs["doc_id"] == least["_kept"], "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(least, docs["doc_id"] == least["_kept"], "left_semi")
+    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
