@@ -308,7 +308,7 @@ def regular_grid(spark, sf_dir):
 
 @query
 def basename(spark, sf_dir):
-    made = F.concat(F.lit("ch2_iir_nci_"), F.lpad(F.col("p_partkey").cast("string"), 8, "2"), F.when(F.col("p_partkey") % 3 > 0, "T"), F.lpad((F.col("p_partkey") * 7).cast("string"), 10, "1"), F.lit("_g_grd_d32.csv"))
+    made = F.concat(F.lit("sat_img_nci_"), F.lpad(F.col("p_partkey").cast("string"), 8, "2"), F.when(F.col("p_partkey") % 3 > 0, "T"), F.lpad((F.col("p_partkey") * 7).cast("string"), 10, "1"), F.lit("_g_grd_d32.csv"))
     return P.table(spark, sf_dir, "part").select("p_partkey", N.basename(F.coalesce(made, F.col("p_name"))).alias("basename"), N.stem_token(F.coalesce(made, F.col("p_name"))).alias("token"))
 
 
@@ -329,7 +329,7 @@ def proj_lookup(spark, sf_dir):
 @query
 def solar_distance(spark, sf_dir):
     ids = F.array(*(F.lit(k) for k in K.SOLAR_DISTANCE))
-    name = F.concat(F.lit("ch2_iir_nci_"), F.coalesce(F.get(ids, (F.col("p_partkey") % 8).cast("int")), F.lit("20000101T0000000000")))
+    name = F.concat(F.lit("sat_img_nci_"), F.coalesce(F.get(ids, (F.col("p_partkey") % 8).cast("int")), F.lit("20000101T0000000000")))
     return P.table(spark, sf_dir, "part").select("p_partkey", N.solar_distance(name).alias("au"))
 
 
@@ -363,7 +363,7 @@ def label_metaget(spark, sf_dir):
 def catalog_files(spark, sf_dir):
     k = F.col("page_id")
     kinds = F.array(*map(F.lit, ("data/raw/a.qub", "data/calibrated/20210622/{}.qub", "miscellaneous/calibrated/x/{}.spm", "geometry/calibrated/{}.csv", "data/calibrated/{}.xml", "browse/calibrated/{}.png", "data/calibrated/{}.hdr")))
-    path = F.replace(F.concat(F.lit("/archive/"), F.get(kinds, (k % 7).cast("int"))), F.lit("{}"), F.concat(F.lit("ch2_iir_nci_"), k.cast("string"), F.lit("_d_img_d32")))
+    path = F.replace(F.concat(F.lit("/archive/"), F.get(kinds, (k % 7).cast("int"))), F.lit("{}"), F.concat(F.lit("sat_img_nci_"), k.cast("string"), F.lit("_d_img_d32")))
     return tables.catalogue(P.table(spark, sf_dir, "pages").select(path.alias("path")), level=1)
 
 

@@ -112,7 +112,7 @@ _add("regular_grid", f"""WITH {_PX}, p AS (SELECT x * 1.1::DOUBLE + y * 0.2::DOU
     e AS (SELECT min(lon) AS lon0, max(lon) AS lon1, min(lat) AS lat0, max(lat) AS lat1 FROM p),
     q AS (SELECT v, least(floor((lon - lon0) / (lon1 - lon0) * 12), 11) AS i, least(floor((lat - lat0) / (lat1 - lat0) * 10), 9) AS j, e.* FROM p, e)
     SELECT {_r('lon0 + (i + 0.5::DOUBLE) * (lon1 - lon0) / 12')} AS lon, {_r('lat0 + (j + 0.5::DOUBLE) * (lat1 - lat0) / 10')} AS lat, {_r('avg(v)')} AS value FROM q GROUP BY i, j, lon0, lon1, lat0, lat1""")
-_MADE = "coalesce('ch2_iir_nci_' || lpad(p_partkey::VARCHAR, 8, '2') || CASE WHEN p_partkey % 3 > 0 THEN 'T' END || lpad((p_partkey * 7)::VARCHAR, 10, '1') || '_g_grd_d32.csv', p_name)"
+_MADE = "coalesce('sat_img_nci_' || lpad(p_partkey::VARCHAR, 8, '2') || CASE WHEN p_partkey % 3 > 0 THEN 'T' END || lpad((p_partkey * 7)::VARCHAR, 10, '1') || '_g_grd_d32.csv', p_name)"
 _add("basename", f"WITH m AS (SELECT p_partkey, {_MADE} AS f FROM part) SELECT p_partkey, nullif(regexp_extract(f, '\\d{{8}}T\\d{{10}}'), '') AS basename, string_split(regexp_replace(f, '\\.[^.]*$', ''), '_')[4] AS token FROM m")
 _add("exp_gain_key", "SELECT p_partkey, lower('E' || (p_size % 4 + 1) || 'G2') AS exp_gain FROM part")
 _WKT = "CASE n_nationkey % 3 " + " ".join(f"WHEN {k} THEN '{K.PROJECTIONS[n][:40]}'" for k, n in enumerate(("equatorial", "polarstereographicsouthpole", "polarstereographicnorthpole"))) + " END"
@@ -121,7 +121,7 @@ _add("solar_distance", "SELECT p_partkey, CASE p_partkey % 8 " + " ".join(f"WHEN
 _add("md5_verify", "SELECT doc_id, md5(text) AS md5, doc_id % 10 <> 0 AS ok FROM documents WHERE text IS NOT NULL")
 _add("label_metaget", """SELECT page_id, 'e' || (page_id % 4 + 1) || 'g2' AS exp_gain, CASE WHEN page_id % 2 = 0 THEN 'Equatorial' END AS area, 1624363200 + page_id % 60 * 60 + 56.344::DOUBLE AS start, page_id AS lines,
     (page_id + 0.5::DOUBLE)::VARCHAR || ' nm; ' || (page_id + 17.25::DOUBLE)::VARCHAR || ' nm' AS labels FROM pages""")
-_add("catalog_files", """WITH p AS (SELECT page_id AS k, 'ch2_iir_nci_' || page_id || '_d_img_d32' AS s FROM pages)
+_add("catalog_files", """WITH p AS (SELECT page_id AS k, 'sat_img_nci_' || page_id || '_d_img_d32' AS s FROM pages)
     SELECT CASE k % 7 WHEN 1 THEN 'qub' WHEN 2 THEN 'spm' WHEN 3 THEN e WHEN 4 THEN e WHEN 5 THEN e ELSE 'hdr' END AS ext, k::VARCHAR AS basename,
         CASE k % 7 WHEN 1 THEN '/archive/data/calibrated/20210622/' || s || '.qub' WHEN 2 THEN '/archive/miscellaneous/calibrated/x/' || s || '.spm' WHEN 3 THEN '/archive/geometry/calibrated/' || s || '.csv'
             WHEN 4 THEN '/archive/data/calibrated/' || s || '.xml' WHEN 5 THEN '/archive/browse/calibrated/' || s || '.png' ELSE '/archive/data/calibrated/' || s || '.hdr' END AS path

@@ -84,10 +84,10 @@ def setting_of(path: str) -> str | None:
 
 def lut_path(calib_dir: str, exp_gain: str, kind: str = "lut_coeff") -> str:
     """Path of a setting's table; FileNotFoundError without one."""
-    at = Path(calib_dir) / f"ch2_iirs_cal_{exp_gain}_{kind}.csv"
-    if not at.exists():
-        raise FileNotFoundError(f"no {kind} table for {exp_gain}: {at}")
-    return str(at)
+    found = sorted(Path(calib_dir).glob(f"*_{exp_gain}_{kind}.csv"))
+    if not found:
+        raise FileNotFoundError(f"no {kind} table for {exp_gain} in {calib_dir}")
+    return str(found[0])
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:

@@ -66,7 +66,7 @@ def test_longitudes_wrap(spark, lon, want):
 
 
 def test_names(spark):
-    name = F.lit("ch2_iir_nci_20210622T1256344234_g_grd_d32.csv")
+    name = F.lit("sat_img_nci_20210622T1256344234_g_grd_d32.csv")
     assert one(spark, N.basename(name)) == one(spark, N.stem_token(name)) == "20210622T1256344234"
     assert one(spark, N.basename(F.lit("none"))) is None
     with pytest.raises(Exception, match="no observation id"):

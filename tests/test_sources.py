@@ -26,7 +26,7 @@ def archive(tmp_path_factory):
     root = tmp_path_factory.mktemp("archive")
     data = np.random.default_rng(0).uniform(1, 2, (12, 5, 4))
     for level, code in (("raw", "nri"), ("calibrated", "nci")):
-        at = root / "data" / level / "20210622" / f"ch2_iir_{code}_{ID}_d_img_d32.qub"
+        at = root / "data" / level / "20210622" / f"sat_img_{code}_{ID}_d_img_d32.qub"
         write_qub(at, data)
         md5 = hashlib.md5(at.read_bytes()).hexdigest()
         axes = "".join(f"<Axis_Array><elements>{n}</elements></Axis_Array>" for n in data.shape)
@@ -34,16 +34,16 @@ def archive(tmp_path_factory):
             f'<P xmlns:isda="urn:i"><start_date_time>2021-06-22T12:56:34Z</start_date_time><stop_date_time>2021-06-22T12:57:00Z</stop_date_time><md5_checksum>{md5}</md5_checksum>'
             f"<isda:exposure>E2</isda:exposure><isda:gain>G2</isda:gain><isda:orbit_limb_direction>Descending</isda:orbit_limb_direction><isda:line_exposure_duration>1000</isda:line_exposure_duration>{axes}</P>"
         )
-    spm = root / "miscellaneous/calibrated/20210622" / f"ch2_iir_nci_{ID}_d_oth.spm"
+    spm = root / "miscellaneous/calibrated/20210622" / f"sat_img_nci_{ID}_d_oth.spm"
     spm.parent.mkdir(parents=True)
     spm.write_text("".join(f"SPM {i} 1422021 06 22 12 56 {30 + 10 * i} 0 1 2 3 4 5 6 7 8 {100 + i} {-60 + i}\n" for i in range(3)))
-    geo = root / "geometry/calibrated/20210622" / f"ch2_iir_nci_{ID}_g_grd.csv"
+    geo = root / "geometry/calibrated/20210622" / f"sat_img_nci_{ID}_g_grd.csv"
     geo.parent.mkdir(parents=True)
     geo.write_text("Longitude,Latitude,Pixel,Scan\n" + "".join(f"{190 + p},{s},{p},{s}\n" for p in (0, 3) for s in (0, 4)))
     calib = root / "calib"
     calib.mkdir()
-    (calib / "ch2_iirs_cal_e2g2_lut_coeff.csv").write_text("".join(f"{1 + i % 250 / 1000},{0.5}\n" for i in range(12 * 250)))
-    (calib / "ch2_iirs_cal_e2g2_saturations_radiance.csv").write_text("".join(f"{i},1,{1e5 if i != 9 else -9999}\n" for i in range(12)))
+    (calib / "cal_e2g2_lut_coeff.csv").write_text("".join(f"{1 + i % 250 / 1000},{0.5}\n" for i in range(12 * 250)))
+    (calib / "cal_e2g2_saturations_radiance.csv").write_text("".join(f"{i},1,{1e5 if i != 9 else -9999}\n" for i in range(12)))
     (calib / "flux.txt").write_text("".join(f"{800.1234 + 17 * i}\t{50 + i}\n" for i in range(12)))
     return root, data
 
@@ -111,8 +111,8 @@ def test_writers_round_trip(spark, archive, tmp_path):
 
 
 def test_checksums_and_archives(spark, archive, tmp_path):
-    (tmp_path / f"ch2_nci_{ID}").mkdir()
-    with zipfile.ZipFile(tmp_path / f"ch2_iir_nci_{ID}.zip", "w") as z:
+    (tmp_path / f"sat_nci_{ID}").mkdir()
+    with zipfile.ZipFile(tmp_path / f"sat_img_nci_{ID}.zip", "w") as z:
         z.writestr("data/a.txt", "a")
     assert [p.endswith("data/a.txt") for p in integrity.unpack(str(tmp_path), ID)] == [True]
     with pytest.raises(FileNotFoundError):
