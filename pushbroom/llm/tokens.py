@@ -21,6 +21,9 @@ writer ends every row by a separator, which is the frame's end byte.
 
 from __future__ import annotations
 
+import functools
+import json
+import os
 import re
 import struct
 import zlib
@@ -80,30 +83,44 @@ class Encoder:
     encoded as they are. At most ``limit`` pieces are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 600_000):
+        # its threads would wait for each other over the few new pieces of a text; Spark's tasks are the parallelism
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_piece = '"ByteLevel"' in (s := self.tokenizer.to_str()) and '"add_prefix_space":true' not in s and '"normalizer":null' in s
-
-    def _new(self, pieces: list[str]) -> None:
-        for p, e in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, self.kind).tobytes()
+        made = json.loads(self.tokenizer.to_str())
+        pre = made["pre_tokenizer"] or {}
+        self.by_piece = made["normalizer"] is None and (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex")) == ("ByteLevel", False, True)
 
     def __call__(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_piece or any(s in text for s in self.special):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if len(self.known) > self.limit:
-            self.known.clear()
-        pieces = self.cut(text)
-        if new := set(pieces).difference(self.known):
-            self._new(list(new))
-        return b"".join(map(self.known.__getitem__, pieces))
+        return next(self.many([text]))
+
+    def many(self, texts: list[str | None], hold: int = 1_000_000) -> Iterator[bytes]:
+        """Ids of each text; new pieces of about ``hold`` characters of texts are encoded in one call."""
+        held: list[list[str] | bytes] = []
+        size = 0
+        for n, text in enumerate(texts):
+            if not text:
+                held.append([])
+            elif not self.by_piece or any(s in text for s in self.special):
+                held.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
+            else:
+                held.append(self.cut(text))
+                size += len(text)
+            if size >= hold or n == len(texts) - 1:
+                if len(self.known) > self.limit:
+                    self.known.clear()
+                new = {p for h in held if isinstance(h, list) for p in h}.difference(self.known)
+                new = list(new)
+                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                    self.known[p] = np.array(e.ids, self.kind).tobytes()
+                for h in held:
+                    yield h if isinstance(h, bytes) else b"".join(map(self.known.__getitem__, h))
+                held, size = [], 0
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -122,14 +139,21 @@ class Encoder:
         return out
 
 
+@functools.lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """The worker process's encoder, which its tasks share."""
+    return Encoder(path)
+
+
 def encode_frames(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Rows (frame binary) in the order of ``docs``' rows, of its doc_id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         end = np.array([end_id], encode.kind).tobytes()
         for b in batches:
-            out = [frame(i.as_py(), encode(t.as_py()) + end, encode.wide) for i, t in zip(b.column(0), b.column(1))]
+            ids = encode.many(b.column(1).to_pylist())
+            out = [frame(i, t + end, encode.wide) for i, t in zip(b.column(0).to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "frame binary")
