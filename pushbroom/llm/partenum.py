@@ -120,6 +120,27 @@ def _stars(sig: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return edges, s[first], d[first]
 
 
+def _roots(edges: np.ndarray) -> dict[int, int]:
+    """The least document of each document's component of ``edges``."""
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
+        return x
+
+    for a, b in edges.tolist():
+        a, b = root(a), root(b)
+        if a != b:
+            up[max(a, b)] = min(a, b)
+    return {x: root(x) for x in up}
+
+
+def _forest(edges: np.ndarray) -> np.ndarray:
+    """An edge to the least document of its component for each document of ``edges`` besides that one."""
+    return np.array(sorted(_roots(edges).items()), np.int64).reshape(-1, 2)
+
+
 def _edge_batch(edges: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
@@ -135,6 +156,11 @@ def candidates(docs: DataFrame, k: int, percent: int, n_parts: int) -> DataFrame
             edges, s, d = _stars(np.concatenate(sigs), np.concatenate(ids))
             sigs.clear()
             ids.clear()
+            edges = _forest(edges)
+            if len(edges):
+                # only what a batch joins matters from here on, so its root stands for a document
+                at = np.minimum(np.searchsorted(edges[:, 0], d), len(edges) - 1)
+                d = np.where(edges[at, 0] == d, edges[at, 1], d)
             cut = np.searchsorted(s >> np.uint64(54), np.arange(REDUCERS + 1, dtype=np.uint64))
             full = np.flatnonzero(cut[1:] > cut[:-1])
             to = edges[:, 1] % REDUCERS
@@ -168,7 +194,7 @@ def candidates(docs: DataFrame, k: int, percent: int, n_parts: int) -> DataFrame
                 edges.append(np.frombuffer(e, np.int64).reshape(-1, 2))
         if sigs:
             edges.append(_stars(np.concatenate(sigs), np.concatenate(ids))[0])
-        yield _edge_batch(np.unique(np.concatenate(edges), axis=0))
+        yield _edge_batch(_forest(np.unique(np.concatenate(edges), axis=0)))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     packed = rows.mapInArrow(pack, "reducer int, sigs binary, docs binary, edges binary")
