@@ -28,13 +28,15 @@ from pyspark.sql import functions as F
 from .blocks import forest, grouped, own_pairs
 from .components import connected_components
 from .shingles import mix, shingle_hashes, word_hashes, words
-from .store import Workspace, bound_arrow, partitions
+from .store import Workspace, bound_arrow, broadcast_within, partitions
 
 SEEDS, PAIRS = 5, ((0, 1), (0, 2), (1, 2))
 #: Virtual reducers of packed signatures, and signatures packed at once.
 REDUCERS, PACK = 1024, 1_000_000
 #: Members and shingles of a block of a large group of candidates, about.
 BLOCK, BLOCK_SHINGLES = 400, 400_000
+#: Candidates up to which their units are broadcast (about 100 bytes each).
+MANY_UNITS = 200_000
 
 
 class Bands:
@@ -203,6 +205,9 @@ def candidates(docs: DataFrame, k: int, percent: int, n_parts: int) -> DataFrame
 
 def _compare(percent: int):
     def links(held: dict[str, list]) -> tuple[dict[int, int], list[tuple[int, int]]]:
+        # rows that repeat a document come once
+        once = list({d: n for n, d in enumerate(held["doc_id"])}.values())
+        held = {c: [v[n] for n in once] for c, v in held.items()}
         sets = [np.frombuffer(s, np.uint64) for s in held["elements"]]
         right, copies, ids = np.array(held["right"]), np.array(held["copies"]), held["doc_id"]
         sizes = np.array([len(s) for s in sets])
@@ -262,15 +267,17 @@ def jaccard_classes(spark: SparkSession, docs: DataFrame, k: int = 5, percent: i
     member = ws.table(linkable.join(classes, ["n", "h1", "h2"]).select("doc_id", "rep", "n", "copies").distinct(), "members")
     total = classes.agg(F.sum("n")).first()[0] or 0
     n_parts = max(partitions(spark), int(total * 16 / (64 << 20)) + 1)
-    found = ws.table(candidates(docs, k, percent, n_parts), "candidates")
+    found = ws.table(candidates(docs, k, percent, n_parts).distinct(), "candidates")  # most tasks join a document to the same one
     to_rep = lambda e, c: e.join(member.select(F.col("doc_id").alias(c), F.col("rep").alias(f"r{c}")), c)
     near = to_rep(to_rep(found, "a"), "b").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
     groups = connected_components(ws, near)
 
     units = ws.table(_units(groups, member, percent), "units")
-    rows = units.join(docs.withColumnRenamed("doc_id", "_d"), F.col("doc_id") == F.col("_d")).select("text", "doc_id", "n", "copies", "units")
+    # texts stay where they are if the candidates' units are few enough to send; else texts and units meet by doc_id
+    near_docs = broadcast_within(units, units.count(), MANY_UNITS)
+    rows = docs.withColumnRenamed("doc_id", "_d").join(near_docs, F.col("doc_id") == F.col("_d")).select("text", "doc_id", "n", "copies", "units")
     rows = rows.where(F.col("text").isNotNull())
-    rows = element_table(rows, k).where(F.octet_length("elements") == 8 * F.col("n")).dropDuplicates(["doc_id"])
+    rows = element_table(rows, k).where(F.octet_length("elements") == 8 * F.col("n"))
     rows = rows.select("doc_id", "copies", "elements", F.explode("units").alias("u")).select("doc_id", "copies", "elements", "u.right", F.xxhash64("u.group", "u.band", "u.i", "u.band2", "u.j").alias("unit"))
     pairs = ws.table(grouped(rows, "unit", _compare(percent), partitions(spark)), "links")
 
