@@ -77,18 +77,18 @@ def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
 class Encoder:
     """Encodes whole texts, encoding each distinct piece once.
 
-    A byte-level pre-tokenizer never joins text across a single space that stands
-    between two non-space characters, so a text cut before such spaces encodes as
+    A byte-level pre-tokenizer never joins text across a single space or line end that stands
+    between two other characters, so a text cut before those encodes as
     its pieces do. Other texts, and those with a special token's string, are
-    encoded as they are. At most ``limit`` pieces are remembered.
+    encoded as they are. Of the pieces seen last, between ``limit`` and twice as many are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 350_000):
         # its threads would wait for each other over the few new pieces of a text; Spark's tasks are the parallelism
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known = Tokenizer.from_file(path), limit, {}
+        self.tokenizer, self.limit, self.known, self.older = Tokenizer.from_file(path), limit, {}, {}
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -113,19 +113,49 @@ class Encoder:
                 size += len(text)
             if size >= hold or n == len(texts) - 1:
                 if len(self.known) > self.limit:
-                    self.known.clear()
-                new = {p for h in held if isinstance(h, list) for p in h}.difference(self.known)
-                new = list(new)
-                for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                    self.known[p] = np.array(e.ids, self.kind).tobytes()
+                    self.known, self.older = {}, self.known
+                self._learn({p for h in held if isinstance(h, list) for p in h}.difference(self.known))
                 for h in held:
                     yield h if isinstance(h, bytes) else b"".join(map(self.known.__getitem__, h))
                 held, size = [], 0
 
+    def _learn(self, pieces: set[str]) -> None:
+        """Encodes pieces; of a word with marks after it, the word and the marks, which no encoding joins, are encoded once each."""
+        known, older, parts, new = self.known, self.older, [], set()
+
+        def need(p: str) -> None:
+            if p not in known:
+                if (v := older.get(p)) is None:
+                    new.add(p)
+                else:
+                    known[p] = v
+
+        for p in pieces:
+            n = 0 if p in older or p[-1].isalnum() else self._marks_at(p)
+            if n:
+                parts.append((p, p[:n], p[n:]))
+                need(p[:n])
+                need(p[n:])
+            else:
+                need(p)
+        wanted = list(new)
+        for p, e in zip(wanted, self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)):
+            known[p] = np.array(e.ids, self.kind).tobytes()
+        for p, word, marks in parts:
+            known[p] = known[word] + known[marks]
+
+    @staticmethod
+    def _marks_at(piece: str) -> int:
+        """Where the marks after a word of letters begin; 0 if the piece is not such a word."""
+        n = len(piece)
+        while n and not (piece[n - 1].isalnum() or piece[n - 1].isspace() or piece[n - 1] == "'"):
+            n -= 1
+        return n if 0 < n < len(piece) and piece[:n].lstrip(" \n").isalpha() else 0
+
     @staticmethod
     def cut(text: str) -> list[str]:
-        if text[0] != " " != text[-1] and "\0" not in text and not _RUN.search(text):
-            return text.replace(" ", "\0 ").split("\0")
+        if not text[0].isspace() and not text[-1].isspace() and "\0" not in text and not _RUN.search(text):
+            return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
         first, *rest = text.split(" ")
         out, hold = [], first
         for w in rest:
