@@ -296,6 +296,13 @@ def tps_grid(spark, sf_dir):
     return out.select("x", "y", _rounded("lon").alias("lon"), _rounded("lat").alias("lat"))
 
 
+@query
+def tps_grid_whole(spark, sf_dir):
+    """The splines through every point of the geometry grid, evaluated at every pixel; longitudes are not wrapped, so they have no jump."""
+    out = geometry.spline_grid(P.geometry(spark, sf_dir), P.pixels(spark, sf_dir).select("x", "y"))
+    return out.select("x", "y", _rounded("lon").alias("lon"), _rounded("lat").alias("lat"))
+
+
 @query
 def regular_grid(spark, sf_dir):
     p = P.pixels(spark, sf_dir).select((F.col("x") * 1.1 + F.col("y") * 0.2).alias("lon"), (F.col("y") * 0.9 - F.col("x") * 0.1).alias("lat"), F.get("spectrum", F.lit(0)).alias("value"))

@@ -108,6 +108,8 @@ _add("geom_extent", f"WITH {_GEO} SELECT min(px) AS min_pixel, max(px) AS max_pi
 _add("geom_corners", f"WITH {_GEO}, b AS (SELECT * FROM g WHERE lon BETWEEN 155 AND 178 AND lat BETWEEN -19.5 AND 90), e AS (SELECT min(px) AS a, max(px) AS b, min(sc) AS c, max(sc) AS d FROM b) SELECT sc AS row, px AS col, {_r('lon')} AS x, {_r('lat')} AS y FROM b, e WHERE px IN (e.a, e.b) AND sc IN (e.c, e.d)")
 _add("latlon_pivot", f"WITH {_GEO} SELECT sc + 1 AS y, {', '.join(f'''{_r(f'max(lat) FILTER (px = {50 * k})')} AS x_{50 * k}''' for k in range(6))} FROM g GROUP BY sc")
 _add("tps_grid", f"WITH {_PX} SELECT x, y, {_r('embedding[1]::DOUBLE')} AS lon, {_r('embedding[2]::DOUBLE')} AS lat FROM px WHERE y * 25 + x < 60 + 12.5 + 0.5")
+# longitude and latitude of the geometry grid are affine in Pixel and Scan, and a thin-plate spline gives affine values back everywhere
+_add("tps_grid_whole", f"WITH {_PX} SELECT x, y, {_r('150 + x / 50 * 8 + y / 50 * 0.5::DOUBLE')} AS lon, {_r('-20 + y / 50 * 0.9::DOUBLE + x / 50 * 0.1::DOUBLE')} AS lat FROM px")
 _add("regular_grid", f"""WITH {_PX}, p AS (SELECT x * 1.1::DOUBLE + y * 0.2::DOUBLE AS lon, y * 0.9::DOUBLE - x * 0.1::DOUBLE AS lat, embedding[1]::DOUBLE AS v FROM px),
     e AS (SELECT min(lon) AS lon0, max(lon) AS lon1, min(lat) AS lat0, max(lat) AS lat1 FROM p),
     q AS (SELECT v, least(floor((lon - lon0) / (lon1 - lon0) * 12), 11) AS i, least(floor((lat - lat0) / (lat1 - lat0) * 10), 9) AS j, e.* FROM p, e)
