@@ -89,6 +89,11 @@ def knots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"), (F.col("value") % 60.0).alias("sun_elev"), (F.col("value") % 360.0).alias("sun_az"))
 
 
+def all_knots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sun-parameter series of all events."""
+    return table(spark, sf_dir, "events").select((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"), (F.col("value") % 60.0).alias("sun_elev"), (F.col("value") % 360.0).alias("sun_az"))
+
+
 def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(product_id, y, line, t): a line each of the cube, a minute apart from half an hour before the series starts."""
     e = table(spark, sf_dir, "events")

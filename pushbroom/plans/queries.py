@@ -179,6 +179,12 @@ def sun_incidence(spark, sf_dir):
     return lit.select("line", _rounded("inc").alias("inc"), _rounded("iaz").alias("iaz"))
 
 
+@query
+def sun_incidence_whole(spark, sf_dir):
+    lit = sun.illumination(P.clock(spark, sf_dir), P.all_knots(spark, sf_dir), descending=True)
+    return lit.select("line", _rounded("inc").alias("inc"), _rounded("iaz").alias("iaz"))
+
+
 @query
 def solar_flux(spark, sf_dir):
     c = spark.createDataFrame([(b, v) for b, v in enumerate(P.irradiance(), 1)], "band int, l double")
@@ -192,6 +198,13 @@ def reflectance(spark, sf_dir):
     return _values(calibration.to_reflectance(p, P.wavelengths(), P.flux()))
 
 
+@query
+def reflectance_whole(spark, sf_dir):
+    lit = sun.illumination(P.clock(spark, sf_dir), P.all_knots(spark, sf_dir)).select("product_id", "y", "inc", "iaz")
+    p = calibration.with_lines(P.lit_pixels(spark, sf_dir), lit)
+    return _values(calibration.to_reflectance(p, P.wavelengths(), P.flux()))
+
+
 @query
 def brightness_temp(spark, sf_dir):
     return _values(P.lit_pixels(spark, sf_dir).withColumn("spectrum", F.transform(_s(), lambda v, i: R.brightness_temperature(v, F.get(P.wavelengths(), i)))))

@@ -31,6 +31,8 @@ _SPM = """e AS (SELECT epoch_us(ts) / 1e6::DOUBLE AS ts, value % 60 AS elev, val
     clock AS (SELECT DISTINCT vec_id // 25 AS line, (vec_id // 25 + 0.5)::DOUBLE AS y, (SELECT min(epoch_us(ts)) FROM events) / 1e6::DOUBLE - 1800 + 60.0::DOUBLE * (vec_id // 25) AS t FROM embeddings),
     sun AS (SELECT line, y, e0 + (t - t0) * (e1 - e0) / (t1 - t0) AS elev, a0 + (t - t0) * (a1 - a0) / (t1 - t0) AS az FROM clock JOIN seg ON (lo IS NULL OR t >= lo) AND (hi IS NULL OR t < hi))"""
 
+_SPM_WHOLE = _SPM.replace(" WHERE user_id = (SELECT min(user_id) FROM events)", "")
+
 
 def _filled(src: str, gap: str) -> str:
     """CTE ``f``: ``src`` with holes filled linearly under the condition ``gap`` on pb and nb."""
@@ -77,8 +79,10 @@ _add("stripe_counts", f"{_STRIPES} SELECT band, x, n_off FROM s")
 _add("stripe_flags", f"{_STRIPES} SELECT band, x, n_off > 0.6826894921370859::DOUBLE * lines AS is_stripe FROM s")
 _add("line_times", f"SELECT i AS line, {_r('1600000000 + 0.0248::DOUBLE * i')} AS t FROM range(500) r(i)")
 _add("sun_incidence", f"WITH {_SPM} SELECT line, {_r('90 - abs(elev)')} AS inc, {_r('az - 180')} AS iaz FROM sun")
+_add("sun_incidence_whole", f"WITH {_SPM_WHOLE} SELECT line, {_r('90 - abs(elev)')} AS inc, {_r('az - 180')} AS iaz FROM sun")
 _add("solar_flux", f"SELECT b::INT AS band, {_r('(100 + 3 * b)::DOUBLE * 10 / (pi() * 0.9855::DOUBLE * 0.9855::DOUBLE)')} AS flux, {_r('round_even((100 + 3 * b)::DOUBLE * 10 / 3.14::DOUBLE, 4)')} AS flux_rounded FROM range(1, 65) r(b)")
 _add("reflectance", f"WITH {_LIT}, {_SPM} SELECT band, l.y, x, {_r(f'v / (cos(radians(90 - abs(elev))) * {_FLUX})')} AS value FROM l LEFT JOIN sun ON l.y = sun.y")
+_add("reflectance_whole", f"WITH {_LIT}, {_SPM_WHOLE} SELECT band, l.y, x, {_r(f'v / (cos(radians(90 - abs(elev))) * {_FLUX})')} AS value FROM l LEFT JOIN sun ON l.y = sun.y")
 _add("brightness_temp", _plain(_LIT, "l", _BT))
 _T = f"t AS (SELECT y, x, avg({_BT}) AS t FROM l WHERE band BETWEEN 41 AND 60 GROUP BY y, x)"
 _add("mean_temperature", f"WITH {_LIT}, {_T} SELECT y, x, {_r('t')} AS t FROM t")

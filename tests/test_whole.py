@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 
 from pushbroom.operators import geometry
+from pushbroom.plans import proxies as P
 from pushbroom.plans import queries as Q
 
 DATA = "/root/testdata/sf0.01"
@@ -57,3 +58,15 @@ def test_splines_between_centres_are_those_of_brute_force(spark):
     for p, v in zip(at, u):
         want = np.array([*(bend(v, c) for c in q), 1, *v]) @ sol
         assert np.allclose(got[tuple(p)], want, atol=1e-8)
+
+
+@tables
+@pytest.mark.parametrize("name", ["sun_incidence", "reflectance"])
+def test_all_events_are_knots(spark, name):
+    assert P.all_knots(spark, DATA).count() == count(spark, "events") > P.knots(spark, DATA).count()
+    got = agree(spark, f"{name}_whole")
+    few = Q.QUERIES[name](spark, DATA).toPandas()
+    keys = ["line"] if name == "sun_incidence" else ["band", "y", "x"]
+    both = got.merge(few, on=keys, suffixes=("", "_few"))
+    value = "inc" if name == "sun_incidence" else "value"
+    assert len(both) == len(got) and (both[value] - both[f"{value}_few"]).abs().max() > 1e-6
