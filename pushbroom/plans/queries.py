@@ -150,6 +150,14 @@ def bad_band_buffer(spark, sf_dir):
     return detector.buffered(flags, 2).select("band", "bad")
 
 
+@query
+def bad_band_buffer_whole(spark, sf_dir):
+    """All parts: a block of as many as there are bands is a setting, so no window holds more."""
+    block, band = F.floor(F.col("p_partkey") / K.BANDS).cast("long"), (F.col("p_partkey") % K.BANDS + 1).cast("int")
+    flags = P.table(spark, sf_dir, "part").select(block.alias("exp_gain"), band.alias("band"), (F.col("p_size") > 45).alias("bad"))
+    return detector.buffered(flags, 2).select(F.col("exp_gain").alias("block"), "band", "bad")
+
+
 @query
 def lut_denoise(spark, sf_dir):
     return detector.denoise(P.lut(spark, sf_dir), 1.0, 0.5).select("band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))

@@ -70,6 +70,7 @@ _add("max_refl", _plain(_C, "c", "CASE WHEN v <= 0.1::DOUBLE THEN v END"))
 _add("cosinc_mask", f"WITH {_PX}, {_LINES} SELECT y, {_r('CASE WHEN c > 0.03::DOUBLE AND c < 0.999::DOUBLE THEN c END')} AS cos_inc FROM (SELECT y, cos(radians(inc * 1.2::DOUBLE)) AS c FROM lines)")
 _add("interp_bands_maxgap", _plain(f"{_HOLED}, {_filled('h', 'nb - pb <= 11')}", "f"))
 _add("bad_band_buffer", "SELECT (p_partkey + 1)::INT AS band, bool_or(p_size > 45) OVER (ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part WHERE p_partkey < 256")
+_add("bad_band_buffer_whole", "SELECT p_partkey // 256 AS block, (p_partkey % 256 + 1)::INT AS band, bool_or(p_size > 45) OVER (PARTITION BY p_partkey // 256 ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part")
 _add("lut_denoise", f"""WITH {_LUT}, r AS (SELECT *, gain - median(gain) OVER w AS gr, off - median(off) OVER w AS orr FROM lut WINDOW w AS (PARTITION BY band ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
     s AS (SELECT *, stddev_pop(gr) OVER () AS gs, stddev_pop(orr) OVER () AS os FROM r)
     SELECT band, x, {_r('CASE WHEN abs(gr / nullif(gs, 0)) < 1 THEN gain END')} AS gain, {_r('CASE WHEN abs(orr / nullif(os, 0)) < 0.5 THEN off END')} AS offset FROM s""")

@@ -70,3 +70,9 @@ def test_all_events_are_knots(spark, name):
     both = got.merge(few, on=keys, suffixes=("", "_few"))
     value = "inc" if name == "sun_incidence" else "value"
     assert len(both) == len(got) and (both[value] - both[f"{value}_few"]).abs().max() > 1e-6
+
+
+@tables
+def test_bad_bands_of_all_parts(spark):
+    got = agree(spark, "bad_band_buffer_whole")
+    assert len(got) == count(spark, "part") > 256 and got.block.nunique() == 8
