@@ -42,12 +42,19 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(exp_gain, band, x, gain, offset): a row for each part, as many bands as parts reach."""
+    """(exp_gain, band, x, gain, offset): a row for each part of a cube's bands; later parts have none."""
     p = table(spark, sf_dir, "part")
     band = (F.floor(F.col("p_partkey") / SAMPLES) + 1).cast("int")
     return p.where(band <= BANDS).select(F.lit("e1g2").alias("exp_gain"), band.alias("band"), (F.col("p_partkey") % SAMPLES + 0.5).cast("double").alias("x"), (F.col("p_retailprice") / 1e5).alias("gain"), (F.col("p_size") / 100.0).alias("offset"))
 
 
+def luts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(exp_gain, band, x, gain, offset): a row for each part; those that fill the cells of a cube's bands and samples make a table, numbered by exp_gain."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    band = (F.floor(k / SAMPLES) % BANDS + 1).cast("int")
+    return p.select(F.floor(k / (BANDS * SAMPLES)).cast("long").alias("exp_gain"), band.alias("band"), (k % SAMPLES + 0.5).cast("double").alias("x"), (F.col("p_retailprice") / 1e5).alias("gain"), (F.col("p_size") / 100.0).alias("offset"))
+
+
 def wavelengths() -> Column:
     """Metres by band."""
     return F.array(*(F.lit((4000.0 + 13.0 * b) * 1e-9) for b in range(1, BANDS + 1)))

@@ -163,6 +163,12 @@ def lut_denoise(spark, sf_dir):
     return detector.denoise(P.lut(spark, sf_dir), 1.0, 0.5).select("band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))
 
 
+@query
+def lut_denoise_whole(spark, sf_dir):
+    out = detector.denoise(P.luts(spark, sf_dir), 1.0, 0.5)
+    return out.select(F.col("exp_gain").alias("lut"), "band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))
+
+
 @query
 def stripe_counts(spark, sf_dir):
     return detector.stripes(P.cube(spark, sf_dir)).select("band", "x", "n_off")

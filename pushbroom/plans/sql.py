@@ -74,6 +74,10 @@ _add("bad_band_buffer_whole", "SELECT p_partkey // 256 AS block, (p_partkey % 25
 _add("lut_denoise", f"""WITH {_LUT}, r AS (SELECT *, gain - median(gain) OVER w AS gr, off - median(off) OVER w AS orr FROM lut WINDOW w AS (PARTITION BY band ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
     s AS (SELECT *, stddev_pop(gr) OVER () AS gs, stddev_pop(orr) OVER () AS os FROM r)
     SELECT band, x, {_r('CASE WHEN abs(gr / nullif(gs, 0)) < 1 THEN gain END')} AS gain, {_r('CASE WHEN abs(orr / nullif(os, 0)) < 0.5 THEN off END')} AS offset FROM s""")
+_add("lut_denoise_whole", f"""WITH lut AS (SELECT p_partkey // 1600 AS lut, (p_partkey // 25 % 64 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, p_retailprice / 1e5::DOUBLE AS gain, p_size / 100::DOUBLE AS off FROM part),
+    r AS (SELECT *, gain - median(gain) OVER w AS gr, off - median(off) OVER w AS orr FROM lut WINDOW w AS (PARTITION BY lut, band ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+    s AS (SELECT *, stddev_pop(gr) OVER (PARTITION BY lut) AS gs, stddev_pop(orr) OVER (PARTITION BY lut) AS os FROM r)
+    SELECT lut, band, x, {_r('CASE WHEN abs(gr / nullif(gs, 0)) < 1 THEN gain END')} AS gain, {_r('CASE WHEN abs(orr / nullif(os, 0)) < 0.5 THEN off END')} AS offset FROM s""")
 _STRIPES = f"""WITH {_C}, n AS (SELECT *, coalesce(lag(v) OVER w, v) AS a, coalesce(lead(v) OVER w, v) AS b FROM c WINDOW w AS (PARTITION BY band, y ORDER BY x)),
     s AS (SELECT band, x, count(*) FILTER ((v < a AND v < b) OR (v > a AND v > b)) AS n_off, count(*) AS lines FROM n GROUP BY band, x)"""
 _add("stripe_counts", f"{_STRIPES} SELECT band, x, n_off FROM s")

@@ -76,3 +76,9 @@ def test_all_events_are_knots(spark, name):
 def test_bad_bands_of_all_parts(spark):
     got = agree(spark, "bad_band_buffer_whole")
     assert len(got) == count(spark, "part") > 256 and got.block.nunique() == 8
+
+
+@tables
+def test_luts_of_all_parts(spark):
+    got = agree(spark, "lut_denoise_whole")
+    assert len(got) == count(spark, "part") > 1600 and set(got.lut) == {0, 1}
