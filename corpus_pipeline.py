@@ -20,12 +20,27 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group of near duplicates (five-word shingles, similarity 0.8); rows without a doc_id stay."""
+    """The least doc_id of each group of near duplicates (five-word shingles, similarity 0.8); rows without a doc_id stay.
+
+    Where a doc_id repeats, rows are judged one by one, so texts that are not alike neither join groups nor go for sharing a doc_id.
+    """
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return _keep_one_row_of_each_group(spark, docs)
     groups = partenum.jaccard_classes(spark, docs, k=5, percent=80)
     least = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
     kept = docs.join(least, docs["doc_id"] == least["_kept"], "left_semi")
-    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+def _keep_one_row_of_each_group(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The same by row: of each group the row of the least doc_id, of several the one whose values hash least."""
+    keyed = docs.where("doc_id IS NOT NULL").withColumn("_row", F.monotonically_increasing_id())
+    keyed = Workspace(spark, "rows").table(keyed, "keyed")  # the key must not change when it is read again
+    groups = partenum.jaccard_classes(spark, keyed.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
+    values = (F.to_json(F.struct(c)) if "map<" in kind else F.col(c) for c, kind in docs.dtypes)
+    order = keyed.select("_row", F.struct("doc_id", F.xxhash64(*values).alias("h"), "_row").alias("_order"))
+    first = groups.join(order, groups["doc_id"] == order["_row"]).groupBy("component_id").agg(F.min("_order").alias("o"))
+    kept = keyed.join(first.select(F.col("o._row").alias("_kept")), F.col("_row") == F.col("_kept"), "left_semi").drop("_row")
     return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
