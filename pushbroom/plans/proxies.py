@@ -114,6 +114,13 @@ def dem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels(spark, sf_dir).select("product_id", "y", "x", (F.get("spectrum", F.lit(11)) * 100.0).alias("z"))
 
 
+def regrid_targets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """x a sample apart and y a line and a half apart, from a quarter and a half beyond the grid's least, over its whole extent."""
+    e = dem(spark, sf_dir).agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
+    at = lambda c, off, step: e.select(F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0).cast("long"), F.floor((F.col(f"{c}1") - F.col(f"{c}0") - off) / step)))).alias("i"), f"{c}0").select((F.col(f"{c}0") + off + F.col("i") * step).alias(c))
+    return at("x", 0.25, 1.0), at("y", 0.5, 1.5)
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(product_id, y, inc, iaz, lat) by formula."""
     y = table(spark, sf_dir, "embeddings").select((F.floor(F.col("vec_id") / SAMPLES) + 0.5).cast("double").alias("y")).distinct()

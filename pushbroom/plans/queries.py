@@ -287,6 +287,12 @@ def dem_regrid(spark, sf_dir):
     return terrain.regrid(P.dem(spark, sf_dir).select("y", "x", "z"), xs, ys).select("y", "x", _rounded("z").alias("z"))
 
 
+@query
+def dem_regrid_whole(spark, sf_dir):
+    xs, ys = P.regrid_targets(spark, sf_dir)
+    return terrain.regrid(P.dem(spark, sf_dir).select("y", "x", "z"), xs, ys).select("y", "x", _rounded("z").alias("z"))
+
+
 @query
 def lon_wrap(spark, sf_dir):
     return P.table(spark, sf_dir, "customer").select("c_custkey", _rounded(R.wrap_longitude(F.col("c_acctbal"))).alias("lon"))

@@ -111,6 +111,10 @@ _add("dem_regrid", f"""WITH {_PX}, d AS (SELECT y, x, embedding[12]::DOUBLE * 10
     xs AS (SELECT i + 0.25::DOUBLE AS u FROM range(30) r(i), e WHERE i + 0.25 BETWEEN x0 AND x1), ys AS (SELECT i * 1.5::DOUBLE + 1 AS w FROM range(12) r(i), e WHERE i * 1.5 + 1 BETWEEN y0 AND y1),
     p AS (SELECT u, w, sum(z * greatest(0, 1 - abs(x - u)) * greatest(0, 1 - abs(y - w))) AS z FROM xs, ys, d WHERE abs(x - u) < 1 AND abs(y - w) < 1 GROUP BY u, w)
     SELECT w AS y, u AS x, {_r('z')} AS z FROM p""")
+_add("dem_regrid_whole", f"""WITH {_PX}, d AS (SELECT y, x, embedding[12]::DOUBLE * 100 AS z FROM px), e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM d),
+    xs AS (SELECT u FROM (SELECT x1, x0 + 0.25::DOUBLE + unnest(range((x1 - x0)::BIGINT + 1)) AS u FROM e) WHERE u <= x1), ys AS (SELECT w FROM (SELECT y1, y0 + 0.5::DOUBLE + 1.5::DOUBLE * unnest(range((y1 - y0)::BIGINT + 1)) AS w FROM e) WHERE w <= y1),
+    p AS (SELECT u, w, sum(z * greatest(0, 1 - abs(x - u)) * greatest(0, 1 - abs(y - w))) AS z FROM xs, ys, d WHERE abs(x - u) < 1 AND abs(y - w) < 1 GROUP BY u, w)
+    SELECT w AS y, u AS x, {_r('z')} AS z FROM p""")
 _add("lon_wrap", f"SELECT c_custkey, {_r('((c_acctbal + 180) % 360 + 360) % 360 - 180')} AS lon FROM customer")
 _add("geom_points", f"WITH {_GEO} SELECT px + 0.5 AS Pixel, sc + 0.5 AS Scan, {_r('lon')} AS Longitude, {_r('lat')} AS Latitude FROM g WHERE lon BETWEEN 149 AND 181 AND lat BETWEEN -21 AND 6")
 _add("geom_extent", f"WITH {_GEO} SELECT min(px) AS min_pixel, max(px) AS max_pixel, min(sc) AS min_scan, max(sc) AS max_scan FROM g WHERE lon BETWEEN 154.5 AND 178.5 AND lat BETWEEN -19.5 AND 90.5")

@@ -82,3 +82,10 @@ def test_bad_bands_of_all_parts(spark):
 def test_luts_of_all_parts(spark):
     got = agree(spark, "lut_denoise_whole")
     assert len(got) == count(spark, "part") > 1600 and set(got.lut) == {0, 1}
+
+
+@tables
+def test_regrid_covers_the_whole_grid(spark):
+    got, few = agree(spark, "dem_regrid_whole"), Q.QUERIES["dem_regrid"](spark, DATA).toPandas()
+    dem = P.dem(spark, DATA).toPandas()
+    assert got.y.max() > dem.y.max() - 1.5 and got.x.max() > dem.x.max() - 1 and few.y.max() < dem.y.max() - 1.5
