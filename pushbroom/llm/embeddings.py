@@ -1,12 +1,13 @@
 """Embedding near-dedup by cross-polytope hashing.
 
 A vector is rotated at random (three rounds of random signs and a fast Hadamard transform) and hashed to the signed axis
-nearest to it; ``functions`` of these hashes make a bucket code, and ``TABLES`` independent codes are taken. Besides
+nearest to it; ``functions`` of these hashes make a bucket code, and ``TABLES`` or more independent codes are taken. Besides
 its own bucket a vector looks into the ``PROBES`` buckets that it misses by least in each table. Vectors that meet in a bucket are compared exactly,
 in double precision, in blocks of bounded size, so a hot bucket feeds many tasks and pairs are never listed. A
 pair that meets several times counts where it meets first.
 
-``functions`` grows with the logarithm of the vectors of the largest label, so buckets stay small however many there are.
+``functions`` grows with the logarithm of the vectors of the largest label, so buckets stay small however many there are. A pair
+meets less often in a table of more functions, so the tables grow with them.
 """
 
 from __future__ import annotations
@@ -29,6 +30,11 @@ THRESHOLD, TABLES, PROBES, SEED = 0.98, 6, 3, 17
 BUCKET, BLOCK = 64, 512
 
 
+def tables_for(functions: int) -> int:
+    """Independent tables for codes of so many functions."""
+    return TABLES + 4 * max(0, functions - 2)
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """The fast Walsh-Hadamard transform of each row, whose length is a power of two."""
     n, h = x.shape[1], 1
@@ -84,7 +90,7 @@ def _coded(rows: DataFrame, functions: int) -> DataFrame:
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
                 x = np.array([vectors[int(i)].as_py() for i in at], dtype=np.float64)
-                c = codes(unit(x), functions).reshape(len(at), -1)
+                c = codes(unit(x), functions, tables_for(functions)).reshape(len(at), -1)
                 for i, row in zip(at, c):
                     made[i] = row
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.list_(pa.int64()))], [*b.schema.names, "codes"])
@@ -107,19 +113,15 @@ def _compare(threshold: float):
         if right.any() and not right.all():
             linked &= right[:, None] != right[None, :]
         a, b = np.nonzero(np.triu(linked, 1))
-        c = np.array(held["codes"]).reshape(len(ids), TABLES, 1 + PROBES)
-        # they meet in a table's bucket if it is the own one of either and one that the other looks into
-        meets = lambda t, p, q: (c[q, t] == c[p, t, :1]).any(1)
-        own = (c[a, t, 0] == bucket) | (c[b, t, 0] == bucket)
-        a, b = a[own], b[own]
+        c = np.array(held["codes"]).reshape(len(ids), -1, 1 + PROBES)
+        # they meet in each bucket of a table that both are in or look into
+        common = lambda s: (c[a, s, :, None] == c[b, s, None, :]).any(2)
         links = forest(_symmetric(a, b, len(ids)))
         first = np.ones(len(a), bool)
         for s in range(t):
-            first &= ~(meets(s, a, b) | meets(s, b, a))
-        # and of the two buckets of this table in which they may meet, in the lesser
-        in_a, in_b = meets(t, a, b), meets(t, b, a)
-        least = np.minimum(np.where(in_a, c[a, t, 0], np.iinfo(np.int64).max), np.where(in_b, c[b, t, 0], np.iinfo(np.int64).max))
-        first &= least == bucket
+            first &= ~common(s).any(1)
+        # and of the buckets of this table in which they meet, in the least
+        first &= np.where(common(t), c[a, t], np.iinfo(np.int64).max).min(1) == bucket
         n = np.bincount(a[first], copies[b[first]], len(ids)) + np.bincount(b[first], copies[a[first]], len(ids))
         return {ids[i]: int(n[i]) for i in np.flatnonzero(n)}, [(ids[i], ids[j]) for i, j in links]
 

@@ -18,3 +18,25 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_texts(spark):
     assert kept[0] == kept[1]
     assert sorted((i, t) for i, t, _ in kept[0] if i is not None) == sorted([(1, a + " end"), (3, b), (9, c), (9, d), (11, e)])
     assert (None, a, "x") in kept[0]
+
+
+def test_pairs_that_meet_through_probes_only_link_once():
+    def links(codes, table, bucket):
+        held = {"embedding": [[1.0, 0.0], [1.0, 0.01]], "rep": [1, 2], "copies": [1, 1], "right": [False, False], "table": [table] * 2, "bucket": [bucket] * 2, "codes": codes}
+        return embeddings._compare(0.98)(held)
+
+    probes = [[1, 7, 8, 9, 20, 21, 22, 23], [2, 8, 7, 5, 20, 31, 32, 33]]
+    assert links(probes, 0, 7) == ({1: 1, 2: 1}, [(1, 2)])
+    assert links(probes, 0, 8) == links(probes, 1, 20) == ({}, [(1, 2)])
+
+
+def test_recall_does_not_fall_with_more_functions():
+    rng = np.random.default_rng(4)
+    x = embeddings.unit(rng.normal(size=(4000, 64)))
+    r = rng.normal(size=x.shape)
+    r = embeddings.unit(r - (r * x).sum(1, keepdims=True) * x)
+    y = 0.98 * x + np.sqrt(1 - 0.98**2) * r
+    assert [embeddings.tables_for(n) for n in (1, 2)] == [embeddings.TABLES] * 2
+    for n in (3, 4):
+        a, b = (embeddings.codes(v, n, embeddings.tables_for(n)) for v in (x, y))
+        assert (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3)).all()
