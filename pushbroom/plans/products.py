@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed as K
 from ..functions import radiometry as R
 from ..operators import cube as C
-from ..operators import detector, geometry, sun, terrain
-from ..sources import integrity, qub, tables
+from ..operators import detector, geometry, spectra, sun, terrain
+from ..sources import files, integrity, qub, tables
 from . import calibration
 
 Extent = tuple[float | None, float | None, float | None, float | None]
@@ -28,20 +27,30 @@ class Product:
         if not found:
             raise ValueError(f"no observation id in: {basename}")
         self.spark, self.basename, self.directory, self.chunk = spark, found.group(), directory, chunk
-        if not self._find("qub"):
+        self.paths = self._find()
+        if "qub" not in self.paths:
             integrity.unpack(directory, self.basename, self.level)
-        self.paths = {ext: str(p) for ext in K.ARCHIVE_FOLDERS if (p := self._find(ext))}
+            self.paths = self._find()
         if "qub" not in self.paths:
             raise FileNotFoundError(f"no image of {self.basename} below {directory}")
         self.labels = tables.read_labels(spark, self.paths["xml"])
         self.metadata = tables.products(self.labels).first().asDict()
-        self.extent = extent
-        self.cube = C.crop(qub.read_qub(spark, self.paths["qub"], chunk), extent[:2], extent[2:])
+        self._open(extent)
 
-    def _find(self, ext: str) -> Path | None:
-        folder = K.ARCHIVE_FOLDERS[ext]
-        below = f"{folder}/{'calibrated' if folder == 'geometry' else K.LEVEL_NAMES[self.level]}"
-        return next((p for p in sorted(Path(self.directory).glob(f"**/{below}/**/*.{ext.split('-')[0]}")) if self.basename in p.stem), None)
+    def _open(self, extent: Extent) -> None:
+        """The image within inclusive labels: in long form, and as pixels in the order of the file's lines, so no operator along bands shuffles the cube."""
+        self.extent = extent
+        self.cube, self.pixels = (qub.read_qub(self.spark, self.paths["qub"], self.chunk, form, extent[:2], extent[2:]) for form in ("long", "spectral"))
+
+    def _find(self) -> dict[str, str]:
+        """The first file of each kind below the archive folder, in whatever store it is."""
+        names = [p for p in files.listing(self.spark, self.directory) if self.basename in p.rsplit("/", 1)[-1].rsplit(".", 1)[0]]
+        out = {}
+        for ext, folder in K.ARCHIVE_FOLDERS.items():
+            below = f"/{folder}/{'calibrated' if folder == 'geometry' else K.LEVEL_NAMES[self.level]}/"
+            if found := next((p for p in names if below in p and p.endswith("." + ext.split("-")[0])), None):
+                out[ext] = found
+        return out
 
     def metaget(self, key: str) -> str | None:
         return tables.metaget(self.labels, key).first()["value"]
@@ -57,10 +66,6 @@ class Product:
         up = self.level == 0 or self.metadata["orbit_direction"] == "descending"
         return C.preview(C.crop(self.cube, x, y), band).orderBy(F.col("y").desc() if up else F.col("y"), "x")
 
-    @property
-    def spectra(self) -> DataFrame:
-        return C.to_spectral(self.cube, self.metadata["bands"])
-
     def line_geometry(self) -> DataFrame:
         """(product_id, y, inc, iaz) of every line."""
         m = self.metadata
@@ -84,7 +89,7 @@ class L0(Product):
             lut = detector.denoise(lut, *K.OUTLIER_Z.get(key, (1.0, 1.0)))
         limit = tables.read_saturation(self.spark, tables.lut_path(calib_dir, key, "saturations_radiance"))
         bands = self.metadata["bands"]
-        return calibration.to_radiance(self.spectra, lut, detector.band_array(limit, "saturation", bands), bands, interpolated=interp_bands is not None)
+        return calibration.to_radiance(self.pixels, lut, detector.band_array(limit, "saturation", bands), bands, interpolated=interp_bands is not None)
 
     def calibrate_to_l1(self, **options) -> L1:
         """The L1 product of the same observation with its image replaced by this one's radiance; RuntimeError without one."""
@@ -92,7 +97,8 @@ class L0(Product):
             l1 = L1(self.spark, self.basename, self.directory, self.extent, chunk=self.chunk)
         except FileNotFoundError as e:
             raise RuntimeError(f"no L1 product of {self.basename}") from e
-        l1.cube = C.to_long(self.calibrate_to_rad(**options))
+        l1.pixels = self.calibrate_to_rad(**options)
+        l1.cube = C.to_long(l1.pixels)
         return l1
 
     def detect_stripes(self, sigma: float = 1.0) -> DataFrame:
@@ -116,16 +122,16 @@ class L1(Product):
                 e = geometry.pixel_extent(self.points).first()
                 if e[0] is None:
                     raise ValueError("no geometry points within latlon_extent")
-                self.extent = tuple(e)
-                self.cube = C.crop(self.cube, e[:2], e[2:])
+                self._open(tuple(e))
         self.cube = self.cube.withColumn("value", F.col("value") * K.RADIANCE_SCALE)
+        self.pixels = self.pixels.withColumn("spectrum", spectra.scale(F.col("spectrum"), K.RADIANCE_SCALE))
 
     def control_points(self, corners_only: bool = False) -> DataFrame:
         return geometry.control_points(self.points, corners_only)
 
     def located(self) -> DataFrame:
         """(x, y, lon, lat) of every pixel of the crop, by splines through the geometry grid."""
-        return geometry.spline_grid(self.points, self.cube.select("x", "y").distinct())
+        return geometry.spline_grid(self.points, self.pixels.select("x", "y"))
 
     def calibrate_to_refl(self, solar: str, dem: DataFrame | None = None, thermal_corr: str = "", lat: DataFrame | None = None) -> DataFrame:
         """Pixels of I/F. ``solar`` is a solar flux file; ``dem`` (y, x, z) and ``lat`` (y, lat) give slopes their own incidence."""
@@ -134,6 +140,6 @@ class L1(Product):
         wl, f = detector.band_array(flux.withColumn("wl", F.col("wl") * 1e-9), "wl", bands), detector.band_array(flux, "flux", bands)
         lines = self.line_geometry()
         if dem is None:
-            return calibration.to_reflectance(calibration.with_lines(self.spectra, lines), wl, f, thermal_corr)
+            return calibration.to_reflectance(calibration.with_lines(self.pixels, lines), wl, f, thermal_corr)
         cos = terrain.cos_incidence(dem.withColumn("product_id", F.lit(self.basename)), lines.join(lat, "y"))
-        return calibration.to_reflectance(self.spectra.join(cos, ["product_id", "y", "x"]), wl, f, thermal_corr, F.col("cos_inc")).drop("cos_inc")
+        return calibration.to_reflectance(self.pixels.join(cos, ["product_id", "y", "x"]), wl, f, thermal_corr, F.col("cos_inc")).drop("cos_inc")

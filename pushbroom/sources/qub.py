@@ -1,32 +1,39 @@
 """Band-sequential image cubes as a Spark data source, and writers of them.
 
-``spark.read.format("qub").load(path)`` gives (product_id, band, y, x, value), a partition a block of lines; ranges of
-band, y and x are pushed to the reader when spark.sql.python.filterPushdown.enabled is on, and only those bytes are read.
+``spark.read.format("qub").load(path)`` gives (product_id, band, y, x, value), and with option form=spectral
+(product_id, y, x, spectrum), a partition a block of lines. Options bands, y and x ("low:high", inclusive, either may be empty) say
+which part to read, and only those bytes are read. They are options and not pushed filters, as Spark 4.1 keeps what was once pushed to a Python
+reader for all queries of one table. A block of lines has all bands of its pixels, so the spectral form needs no shuffle.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.workers import importable
-from ..operators.cube import chunk_lines
+from ..operators.cube import Range, chunk_lines
+from .files import opened, with_suffix
 
 SCHEMA = "product_id string, band int, y double, x double, value double"
+SPECTRA = "product_id string, y double, x double, spectrum array<double>"
+#: Bytes of 4-byte values in a block of spectra, and values in a batch of them.
+SPECTRA_BYTES, BATCH_VALUES = 16e6, 1_000_000
 #: Types of the header's data type codes.
 _KINDS = {1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 12: "u2", 13: "u4"}
 
 
 def read_header(path: str) -> dict:
     """Fields of the text header beside a cube: samples, lines, bands, type, byte order, offset and wavelengths."""
-    text = Path(path).with_suffix(".hdr").read_text()
+    with opened(with_suffix(path, ".hdr")) as f:
+        text = f.read().decode()
     got = {k.strip().lower(): v.strip() for k, v in re.findall(r"^([^=\n]+)=\s*(\{[^}]*\}|[^\n]*)", text, re.M)}
     kind = np.dtype((">" if got.get("byte order", "0") == "1" else "<") + _KINDS[int(got["data type"])])
     if got.get("interleave", "bsq").lower() != "bsq":
@@ -43,19 +50,11 @@ class Block(InputPartition):
 class QubReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = {k.lower(): v for k, v in options.items()}
-        self.bounds = {"band": [-np.inf, np.inf], "y": [-np.inf, np.inf], "x": [-np.inf, np.inf]}
-
-    def pushFilters(self, filters: list) -> Iterable:
-        for f in filters:
-            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            if name in self.bounds and isinstance(f, (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual)):
-                low, high = self.bounds[name]
-                if not isinstance(f, (LessThan, LessThanOrEqual)):
-                    low = max(low, float(f.value))
-                if not isinstance(f, (GreaterThan, GreaterThanOrEqual)):
-                    high = min(high, float(f.value))
-                self.bounds[name] = [low, high]
-            yield f  # bounds are inclusive here, so Spark checks strict ones again
+        self.bounds = {"band": self._range("bands"), "y": self._range("y"), "x": self._range("x")}
+
+    def _range(self, name: str) -> tuple[float, float]:
+        low, _, high = self.options.get(name, ":").partition(":")
+        return float(low or "-inf"), float(high or "inf")
 
     def partitions(self) -> list[Block]:
         out = []
@@ -63,7 +62,8 @@ class QubReader(DataSourceReader):
             h = read_header(path)
             low, high = self.bounds["y"]
             first, last = max(0, int(np.ceil(max(low, 0.5) - 0.5))), int(np.floor(min(high, h["lines"] - 0.5) - 0.5))
-            step = int(self.options.get("chunklines", 0)) or max(1, chunk_lines(h["bands"], h["samples"]))
+            size = {"size": SPECTRA_BYTES} if self.options.get("form") == "spectral" else {}
+            step = int(self.options.get("chunklines", 0)) or max(1, chunk_lines(h["bands"], h["samples"], **size))
             out += [Block(path, y, min(y + step, last + 1)) for y in range(first, last + 1, step)]
         return out or [Block("", 0, 0)]
 
@@ -71,18 +71,37 @@ class QubReader(DataSourceReader):
         if not part.path:
             return
         h = read_header(part.path)
-        cube = np.memmap(part.path, h["kind"], "r", h["offset"], (h["bands"], h["lines"], h["samples"]))
         span = lambda name, n, off: np.flatnonzero((np.arange(n) + off >= self.bounds[name][0]) & (np.arange(n) + off <= self.bounds[name][1]))
         bands, xs = span("band", h["bands"], 1), span("x", h["samples"], 0.5)
         found = re.search(r"\d{8}T\d{10}", part.path)
-        name = found.group() if found else Path(part.path).stem
-        for b in bands if len(xs) else ():
-            v = np.asarray(cube[b, part.start : part.stop, xs[0] : xs[-1] + 1], np.float64)
-            ny, nx = v.shape
-            value = pa.array(v.ravel(), mask=np.isnan(v.ravel()))  # missing is NULL
-            y, x = np.repeat(np.arange(part.start, part.stop) + 0.5, nx), np.tile(xs + 0.5, ny)
-            names = pa.DictionaryArray.from_arrays(pa.array(np.zeros(ny * nx, np.int32)), [name]).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([names, pa.array(np.full(ny * nx, b + 1, np.int32)), pa.array(y), pa.array(x), value], ["product_id", "band", "y", "x", "value"])
+        name = found.group() if found else part.path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+        names = lambda n: pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), [name]).cast(pa.string())
+
+        def image(file, band: int) -> np.ndarray:
+            """The block's lines of a band, as far as samples are wanted."""
+            file.seek(h["offset"] + (band * h["lines"] + part.start) * h["samples"] * h["kind"].itemsize)
+            got = np.frombuffer(file.read((part.stop - part.start) * h["samples"] * h["kind"].itemsize), h["kind"])
+            return got.reshape(-1, h["samples"])[:, xs[0] : xs[-1] + 1].astype(np.float64)
+
+        if not len(xs):
+            return
+        with opened(part.path) as file:
+            if self.options.get("form") == "spectral":
+                lines = np.arange(part.start, part.stop)
+                step = max(1, BATCH_VALUES // (h["bands"] * len(xs)))
+                cube = np.stack([image(file, b) for b in range(h["bands"])], axis=2) if len(lines) else np.empty((0, len(xs), h["bands"]))
+                for n in range(0, len(lines), step):
+                    v, ys = cube[n : n + step], lines[n : n + step] + 0.5
+                    flat = v.ravel()
+                    spectra = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, h["bands"], dtype=np.int32)), pa.array(flat, mask=np.isnan(flat)))
+                    yield pa.RecordBatch.from_arrays([names(len(spectra)), pa.array(np.repeat(ys, len(xs))), pa.array(np.tile(xs + 0.5, len(ys))), spectra], ["product_id", "y", "x", "spectrum"])
+                return
+            for b in bands:
+                v = image(file, int(b))
+                ny, nx = v.shape
+                value = pa.array(v.ravel(), mask=np.isnan(v.ravel()))  # missing is NULL
+                y, x = np.repeat(np.arange(part.start, part.stop) + 0.5, nx), np.tile(xs + 0.5, ny)
+                yield pa.RecordBatch.from_arrays([names(ny * nx), pa.array(np.full(ny * nx, b + 1, np.int32)), pa.array(y), pa.array(x), value], ["product_id", "band", "y", "x", "value"])
 
 
 class QubSource(DataSource):
@@ -91,18 +110,18 @@ class QubSource(DataSource):
         return "qub"
 
     def schema(self) -> str:
-        return SCHEMA
+        return SPECTRA if self.options.get("form") == "spectral" else SCHEMA
 
     def reader(self, schema) -> QubReader:
         return QubReader(dict(self.options))
 
 
-def read_qub(spark: SparkSession, path: str, chunk: int | None = None) -> DataFrame:
-    """The cube at ``path``; ``chunk`` lines a partition (by size if None)."""
+def read_qub(spark: SparkSession, path: str, chunk: int | None = None, form: str = "long", x: Range = (None, None), y: Range = (None, None), bands: Range = (None, None)) -> DataFrame:
+    """The part of the cube at ``path`` within inclusive labels, in long or spectral ``form`` (which has all bands); ``chunk`` lines a partition (by size if None)."""
     importable(spark)
     spark.dataSource.register(QubSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("qub").options(chunkLines=chunk or 0).load(path)
+    span = lambda r: ":".join("" if v is None else repr(float(v)) for v in r)
+    return spark.read.format("qub").options(chunkLines=chunk or 0, form=form, x=span(x), y=span(y), bands=span(bands)).load(path)
 
 
 def write_cube(cube: DataFrame, path: str, crs: str = "IAU_2015:30135", wl: list[float] | None = None) -> None:
@@ -135,5 +154,8 @@ def _blocks(rows: Iterator, size: int = 65536) -> Iterator[list]:
 
 
 def write_output(cube: DataFrame, path: str, wl: list[float] | None = None) -> None:
-    """By suffix: ``.img`` as ENVI, anything else as Parquet."""
+    """By suffix: ``.img`` as ENVI, ``.parquet`` or none as Parquet. Raster suffixes are a ValueError: no library here writes those."""
+    kind = path.rstrip("/").rsplit("/", 1)[-1].rpartition(".")
+    if kind[1] and kind[2].lower() in ("tif", "tiff", "jp2", "nc", "vrt"):
+        raise ValueError(f"cannot write {kind[2]} files: {path}; give .img for ENVI or .parquet")
     (write_envi if path[-4:].lower() == ".img" else write_cube)(cube, path, wl=wl)

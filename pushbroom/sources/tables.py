@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed as K
 from ..functions import names as N
 from ..functions import radiometry as R
+from .files import local
 
 
 def read_spm(spark: SparkSession, path: str) -> DataFrame:
@@ -125,6 +126,13 @@ def read_control_points(spark: SparkSession, path: str) -> tuple[DataFrame, str]
     return rows, crs
 
 
+def write_control_points(points: DataFrame, path: str, crs: str) -> None:
+    """``points`` (row, col, x, y), at most some thousands, as a points file at a local path that ``read_control_points`` reads."""
+    rows = points.select("x", "y", "col", "row").orderBy("row", "col").collect()
+    text = [f"#CRS: {crs}", "mapX,mapY,sourceX,sourceY,enable", *(",".join(repr(float(v)) for v in r) + ",1" for r in rows)]
+    Path(local(path) or path).write_text("\n".join(text) + "\n")
+
+
 def catalogue(paths: DataFrame, level: int = 1, exts: tuple[str, ...] = tuple(K.ARCHIVE_FOLDERS), basenames: list[str] | None = None) -> DataFrame:
     """(ext, basename, path) of archive files among ``paths`` (path): files whose folder and suffix are those of a kind at a product level.
 

@@ -48,16 +48,58 @@ def archive(tmp_path_factory):
     return root, data
 
 
-def test_qub_pushes_ranges(spark, archive):
+def test_qub_reads_ranges(spark, archive):
     root, data = archive
-    c = qub.read_qub(spark, str(next(root.glob("data/raw/**/*.qub"))), 2)
+    path = str(next(root.glob("data/raw/**/*.qub")))
+    c = qub.read_qub(spark, path, 2)
     assert c.rdd.getNumPartitions() == 3
     got = C.crop(c, (1.0, 3.0), (2.5, None), (3, 4))
+    part = qub.read_qub(spark, path, 2, x=(1.0, 3.0), y=(2.5, None), bands=(3, 4))
+    assert part.rdd.getNumPartitions() == 2 and sorted(map(tuple, part.collect())) == sorted(map(tuple, got.collect()))
+    # what one query of a table leaves out, another still has
+    assert c.where("band = 1").unionByName(c.where("band = 2")).count() == 40 and c.count() == data.size
     assert sorted((r.band, r.y, r.x) for r in got.collect()) == [(b, y + 0.5, x + 0.5) for b in (3, 4) for y in (2, 3, 4) for x in (1, 2)]
     r = got.first()
     assert r.value == pytest.approx(data[r.band - 1, int(r.y), int(r.x)], rel=1e-6) and r.product_id == ID
 
 
+def test_spectra_are_the_long_form_by_pixel(spark, archive):
+    root, data = archive
+    path = str(next(root.glob("data/raw/**/*.qub")))
+    p = qub.read_qub(spark, path, 2, "spectral")
+    assert p.rdd.getNumPartitions() == 3
+    got = {(r.y, r.x): r.spectrum for r in C.crop(p, (1.0, 3.0), (2.5, None)).collect()}
+    assert sorted(got) == [(y + 0.5, x + 0.5) for y in (2, 3, 4) for x in (1, 2)]
+    assert all(np.allclose(v, data[:, int(y), int(x)]) for (y, x), v in got.items())
+    long = C.to_spectral(qub.read_qub(spark, path), 12).select("y", "x", "spectrum")
+    assert sorted(map(tuple, long.collect())) == sorted(map(tuple, p.select("y", "x", "spectrum").collect()))
+
+
+def test_missing_values_are_null_in_both_forms(spark, tmp_path):
+    data = np.arange(12.0).reshape(3, 2, 2)
+    data[1, 0, 1] = np.nan
+    write_qub(tmp_path / "a.qub", data)
+    assert [r.value for r in qub.read_qub(spark, str(tmp_path / "a.qub")).where("band = 2 and y = 0.5 and x = 1.5").collect()] == [None]
+    assert qub.read_qub(spark, str(tmp_path / "a.qub"), form="spectral").where("y = 0.5 and x = 1.5").first().spectrum == [1.0, None, 9.0]
+
+
+def test_calibration_of_a_file_shuffles_no_pixels(spark, archive):
+    root, _ = archive
+    plan = L0(spark, ID, str(root)).calibrate_to_rad(calib_dir=str(root / "calib"))._jdf.queryExecution().executedPlan().toString()
+    # gains are gathered by sample and broadcast; nothing is dealt by pixel
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(") == 1
+    plan = L1(spark, ID, str(root)).calibrate_to_refl(str(root / "calib/flux.txt"))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(y" not in plan and "hashpartitioning(product_id" not in plan
+
+
+def test_raster_suffixes_are_refused(spark, archive, tmp_path):
+    root, _ = archive
+    c = qub.read_qub(spark, str(next(root.glob("data/raw/**/*.qub"))))
+    with pytest.raises(ValueError, match="(?i)tif"):
+        qub.write_output(c, str(tmp_path / "x.TIF"))
+    assert not (tmp_path / "x.TIF").exists()
+
+
 def test_l0_to_radiance(spark, archive):
     root, data = archive
     p = L0(spark, f"x_{ID}", str(root))
@@ -117,6 +159,16 @@ def test_checksums_and_archives(spark, archive, tmp_path):
     assert [p.endswith("data/a.txt") for p in integrity.unpack(str(tmp_path), ID)] == [True]
     with pytest.raises(FileNotFoundError):
         integrity.unpack(str(tmp_path), "none")
+    for said, fails in (("0" * 32, True), (hashlib.md5(b"image").hexdigest(), False)):
+        with zipfile.ZipFile(tmp_path / f"sat_img_nri_{ID}.zip", "w") as z:
+            z.writestr("i.qub", "image")
+            z.writestr("i.xml", f"<a><md5_checksum>{said}</md5_checksum></a>")
+        if fails:
+            with pytest.raises(integrity.ChecksumError, match="label says 0000"):
+                integrity.unpack(str(tmp_path), ID, 0)
+            assert len(integrity.unpack(str(tmp_path), ID, 0, check=False)) == 2
+        else:
+            assert len(integrity.unpack(str(tmp_path), ID, 0)) == 2
     f = spark.createDataFrame([("a", "AB"), ("b", "cd")], "path string, md5 string")
     said = spark.createDataFrame([("a", "ab"), ("b", "xx")], "path string, md5_checksum string")
     with pytest.raises(integrity.ChecksumError, match="^b"):
