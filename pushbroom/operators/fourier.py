@@ -14,7 +14,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.radiometry import decibels
 from ..functions.workers import importable
+from .sun import small
+
+#: Bands of all products whose filtered means, a row of samples each, are broadcast.
+MANY_BANDS = 20_000
 
 
 def _fill(mask: np.ndarray, corners: list[tuple[int, int]]) -> None:
@@ -63,14 +68,13 @@ def spectrum_at(cube: DataFrame, band: int, **thresholds: float) -> DataFrame:
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         image = pdf.pivot(index="y", columns="x", values="value").to_numpy()
-        f = np.fft.fftshift(np.fft.fft2(image)) * filter_mask(*image.shape, **thresholds)
-        with np.errstate(divide="ignore"):
-            db = 20 * np.log(np.abs(f))
-        v, u = np.indices(db.shape)
-        return pd.DataFrame({"product_id": pdf["product_id"].iloc[0], "v": v.ravel(), "u": u.ravel(), "decibels": np.where(np.isfinite(db), db, np.nan).ravel()})
+        f = np.abs(np.fft.fftshift(np.fft.fft2(image)) * filter_mask(*image.shape, **thresholds))
+        v, u = np.indices(f.shape)
+        return pd.DataFrame({"product_id": pdf["product_id"].iloc[0], "v": v.ravel(), "u": u.ravel(), "magnitude": f.ravel()})
 
     kind = cube.schema["product_id"].dataType.simpleString()
-    return cube.where(F.col("band") == band).groupBy("product_id").applyInPandas(run, f"product_id {kind}, v long, u long, decibels double")
+    got = cube.where(F.col("band") == band).groupBy("product_id").applyInPandas(run, f"product_id {kind}, v long, u long, magnitude double")
+    return got.select("product_id", "v", "u", decibels(F.when(F.col("magnitude") > 0, F.col("magnitude"))).alias("decibels"))
 
 
 def destripe(cube: DataFrame, vthresh: float = 0.8, vtilt: float = 0.0, hthresh: float = 0.0, htilt: float = 0.0) -> DataFrame:
@@ -88,29 +92,38 @@ def destripe(cube: DataFrame, vthresh: float = 0.8, vtilt: float = 0.0, hthresh:
     return cube.groupBy("product_id", "band").applyInPandas(run, cube.schema)
 
 
+def _kernels(sizes: DataFrame, vthresh: float) -> DataFrame:
+    """(nx, kernel): for each ``nx`` of ``sizes``, the high-pass filter of a row of that length by distance along it."""
+    cx = F.floor(F.col("nx") / 2).cast("int")
+    tip = F.floor(cx * F.lit(1 - vthresh)).cast("int")
+    freqs = F.filter(F.transform(F.sequence(F.lit(0), F.col("nx") - 1), lambda j: j - cx), lambda u: F.abs(u) >= tip)
+    wave = lambda d: F.aggregate(freqs, F.lit(0.0), lambda s, u: s + F.cos(F.lit(2 * math.pi) * u * d / F.col("nx")))
+    return sizes.select("nx", F.transform(F.sequence(F.lit(0), F.col("nx") - 1), lambda d: wave(d) / F.col("nx")).alias("kernel"))
+
+
 def _closed_form(cube: DataFrame, vthresh: float) -> DataFrame:
     """|v - HP(column means) - border|: HP keeps the horizontal frequencies from the mask's tip outwards.
 
-    Columns of a band are its detector's samples, so a band's means fit one row. Only sums are shuffled, then joined back by band.
+    Columns of a band are its detector's samples, so a band's means fit one row, and the filter is one kernel for all bands of a width. The
+    sums by band, by line and by sample are small; counted, they are broadcast, so the cube itself is not shuffled.
     """
     key = ["product_id", "band"]
     by_x = cube.groupBy(*key, "x").agg(F.avg("value").alias("m"), F.count("*").alias("ny"), F.count("value").alias("held"))
     means = by_x.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("x", "m"))).alias("ms"), F.max("ny").alias("ny"), F.sum(F.col("ny") - F.col("held")).alias("gaps"))
-    nx, cx = F.size("ms"), F.floor(F.size("ms") / 2)
-    tip = F.floor(cx * F.lit(1 - vthresh)).cast("int")
-    freqs = F.filter(F.transform(F.sequence(F.lit(0), nx - 1), lambda j: (j - cx).cast("int")), lambda u: F.abs(u) >= tip)
-    high = F.transform("ms", lambda a, i: F.aggregate(
-        F.transform("ms", lambda b, j: b["m"] * F.aggregate(freqs, F.lit(0.0), lambda s, u: s + F.cos(F.lit(2 * math.pi) * u * (i - j) / nx))), F.lit(0.0), lambda s, v: s + v) / nx)
-    means = means.select(*key, "ny", "gaps", F.map_from_arrays(F.transform("ms", lambda s: s["x"]), high).alias("hp"))
+    means = means.withColumn("nx", F.size("ms")).persist()
+    means = means.join(F.broadcast(_kernels(means.select("nx").distinct(), vthresh)), "nx")  # a row a width
+    high = F.transform("ms", lambda a, i: F.aggregate(F.transform("ms", lambda b, j: b["m"] * F.get("kernel", F.abs(i - j))), F.lit(0.0), lambda s, v: s + v))
+    means = means.select(*key, "nx", "ny", "gaps", F.map_from_arrays(F.transform("ms", lambda s: s["x"]), high).alias("hp")).persist()
     # the border row holds one coefficient: the alternation of lines for an even count, else a wave and its conjugate
-    ys = cube.select("product_id", "y").distinct()
-    ys = ys.select("product_id", "y", (F.row_number().over(Window.partitionBy("product_id").orderBy("y")) - 1).alias("n"))
-    c = cube.join(ys, ["product_id", "y"]).join(means, key)
+    by_y = cube.groupBy(*key, "y").agg(F.sum("value").alias("s"))
+    ys = by_y.select("product_id", "y").distinct()
+    ys = ys.select("product_id", "y", (F.row_number().over(Window.partitionBy("product_id").orderBy("y")) - 1).alias("n")).persist()
     turn = F.lit(2 * math.pi) * F.floor(F.col("ny") / 2) * F.col("n") / F.col("ny")
-    c = c.withColumns({"_re": F.cos(turn), "_im": F.sin(turn)})
-    wave = c.groupBy(*key).agg(F.avg(F.col("value") * F.col("_re")).alias("a"), F.avg(F.col("value") * F.col("_im")).alias("b"))
-    c = c.join(wave, key)
-    border = F.when(F.col("ny") % 2 == 0, F.col("a") * F.col("_re")).otherwise(2 * (F.col("a") * F.col("_re") + F.col("b") * F.col("_im")))
+    sums = by_y.join(small(ys), ["product_id", "y"]).join(small(means, MANY_BANDS).drop("hp"), key)
+    wave = sums.groupBy(*key).agg(*((F.sum(F.col("s") * f(turn)) / F.first(F.col("nx") * F.col("ny"))).alias(n) for n, f in (("a", F.cos), ("b", F.sin))))
+    wave = wave.persist()
+    c = cube.join(small(ys), ["product_id", "y"]).join(small(means, MANY_BANDS), key).join(small(wave), key)
+    border = F.when(F.col("ny") % 2 == 0, F.col("a") * F.cos(turn)).otherwise(2 * (F.col("a") * F.cos(turn) + F.col("b") * F.sin(turn)))
     out = F.abs(F.col("value") - F.col("hp")[F.col("x")] - border)
     out = F.when(F.col("gaps") == 0, F.when(F.col("value") != 0, out).otherwise(0.0))
     return c.withColumn("value", out).select(*cube.columns)

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import radiometry as R
+from ..functions.workers import importable
 
 Extent = tuple[float | None, float | None, float | None, float | None]
-#: Centres of a spline at most: its solution takes their cube in time on the driver.
-MANY_CENTRES = 5000
+#: Centres up to which one spline is solved, on the driver, in time with their cube; and those of a tile of a larger grid, about.
+MANY_CENTRES, TILE_CENTRES = 5000, 60
 
 
 def wrapped(grid: DataFrame, center: bool = False) -> DataFrame:
@@ -63,8 +65,6 @@ def spline_weights(x: np.ndarray, y: np.ndarray, values: np.ndarray) -> tuple[np
     Coordinates are shifted and scaled to [-1, 1] by ``frame`` (2 x 2), which keeps the system well conditioned.
     """
     n = len(x)
-    if n > MANY_CENTRES:
-        raise ValueError(f"{n} centres; a spline takes at most {MANY_CENTRES}: thin the grid first")
     p = np.column_stack([x, y]).astype(float)
     shift = (p.max(0) + p.min(0)) / 2
     size = np.where(np.ptp(p, axis=0) > 0, np.ptp(p, axis=0) / 2, 1.0)
@@ -76,19 +76,41 @@ def spline_weights(x: np.ndarray, y: np.ndarray, values: np.ndarray) -> tuple[np
     return sol[:n], sol[n:], np.array([shift, size])
 
 
+def spline_values(x: np.ndarray, y: np.ndarray, values: np.ndarray, u: np.ndarray, v: np.ndarray, block: int = 2000) -> np.ndarray:
+    """The spline through (x, y): values at (u, v), a block of places at a time."""
+    w, poly, (shift, size) = spline_weights(x, y, values)
+    q = (np.column_stack([x, y]) - shift) / size
+    t = (np.column_stack([u, v]) - shift) / size
+    out = np.empty((len(t), values.shape[1]))
+    for k in range(0, len(t), block):
+        p = t[k : k + block]
+        out[k : k + block] = _kernel(((p[:, None] - q[None]) ** 2).sum(2)) @ w + np.column_stack([np.ones(len(p)), p]) @ poly
+    return out
+
+
 def spline_grid(centres: DataFrame, targets: DataFrame) -> DataFrame:
-    """Longitude and latitude at ``targets`` (x, y) of the splines through ``centres`` (Pixel, Scan, Longitude, Latitude).
+    """Longitude and latitude at ``targets`` (x, y) of the splines through ``centres`` (Pixel, Scan, Longitude, Latitude)."""
+    c = centres.select(F.col("Pixel").alias("u"), F.col("Scan").alias("v"), F.col("Longitude").alias("a"), F.col("Latitude").alias("b"))
+    return spline_at(c, targets, ("x", "y"), ("lon", "lat"))
+
 
-    The centres, a bounded sparse grid, are solved on the driver; their weights go to the targets in one broadcast literal,
-    and each target sums over them by itself, without a join or a shuffle.
+def spline_at(centres: DataFrame, targets: DataFrame, at: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+    """Adds ``names`` to ``targets``: the thin-plate splines through ``centres`` (u, v, a, b) at the columns ``at``.
+
+    Up to ``MANY_CENTRES`` centres are solved at once on the driver; their weights go to the targets in one broadcast row,
+    and each target sums over them by itself, without a join or a shuffle. A larger grid is cut into tiles of about ``TILE_CENTRES``: each
+    tile's targets are valued by the spline through its own centres and those of the eight tiles around it. That is exact at centres and for
+    planes; between centres of a smooth grid it departs from the one spline by far less than the spline from the truth.
     """
-    got = np.array([tuple(r) for r in centres.select("Pixel", "Scan", "Longitude", "Latitude").orderBy("Scan", "Pixel").limit(MANY_CENTRES + 1).collect()], dtype=float)
+    rows = centres.select("u", "v", "a", "b").orderBy("v", "u").limit(MANY_CENTRES + 1).collect()
+    if len(rows) > MANY_CENTRES:
+        return _tiled(centres, targets, at, names)
+    got = np.array([tuple(r) for r in rows], dtype=float)
     w, poly, (shift, size) = spline_weights(got[:, 0], got[:, 1], got[:, 2:])
     q = (got[:, :2] - shift) / size
     spark = targets.sparkSession
-    rows = [(float(a), float(b), float(c), float(d)) for (a, b), (c, d) in zip(q, w)]
-    table = spark.createDataFrame([(rows,)], "c array<struct<x:double,y:double,lon:double,lat:double>>")
-    t = targets.withColumns({"_u": (F.col("x") - float(shift[0])) / float(size[0]), "_v": (F.col("y") - float(shift[1])) / float(size[1])})
+    table = spark.createDataFrame([([(float(a), float(b), float(c), float(d)) for (a, b), (c, d) in zip(q, w)],)], "c array<struct<x:double,y:double,a:double,b:double>>")
+    t = targets.withColumns({f"_{k}": (F.col(at[n]) - float(shift[n])) / float(size[n]) for n, k in enumerate("uv")})
     t = t.crossJoin(F.broadcast(table))  # one row
 
     def total(name: str, k: int):
@@ -98,7 +120,58 @@ def spline_grid(centres: DataFrame, targets: DataFrame) -> DataFrame:
 
         return F.aggregate("c", F.lit(0.0), term) + float(poly[0, k]) + F.col("_u") * float(poly[1, k]) + F.col("_v") * float(poly[2, k])
 
-    return t.withColumns({"lon": total("lon", 0), "lat": total("lat", 1)}).drop("_u", "_v", "c")
+    return t.withColumns({names[0]: total("a", 0), names[1]: total("b", 1)}).drop("_u", "_v", "c")
+
+
+def _tiled(centres: DataFrame, targets: DataFrame, at: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+    """``spline_at`` by tiles: centres and targets meet by tile, a task for some tiles."""
+    importable(targets.sparkSession)
+    e = centres.agg(F.count("*").alias("n"), *(f(c).alias(f"{k}{c}") for c in "uv" for f, k in ((F.min, "lo_"), (F.max, "hi_")))).first()
+    across = max(1, round((e.n / TILE_CENTRES) ** 0.5))
+    cell = lambda c, k: F.least(F.greatest(F.floor((c - F.lit(e[f"lo_{k}"])) / F.lit((e[f"hi_{k}"] - e[f"lo_{k}"]) or 1.0) * across), F.lit(0)), F.lit(across - 1)).cast("int")
+    near = F.array(*(F.struct((cell(F.col("u"), "u") + i).alias("i"), (cell(F.col("v"), "v") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    c = centres.select("u", "v", "a", "b", F.explode(near).alias("t")).select("u", "v", "a", "b", "t.i", "t.j")
+    t = targets.withColumns({"_i": cell(F.col(at[0]), "u"), "_j": cell(F.col(at[1]), "v")})
+
+    def run(some: pd.DataFrame, here: pd.DataFrame) -> pd.DataFrame:
+        if not len(here):
+            return here.drop(columns=["_i", "_j"]).assign(**{n: 0.0 for n in names})
+        # a corner of the grid may hold too few centres, or all on one line, for a plane
+        p = some[["u", "v"]].to_numpy(float)
+        held = len(p) >= 3 and np.linalg.matrix_rank(np.column_stack([np.ones(len(p)), p - p.mean(0)])) == 3
+        got = spline_values(p[:, 0], p[:, 1], some[["a", "b"]].to_numpy(float), here[at[0]].to_numpy(float), here[at[1]].to_numpy(float)) if held else np.full((len(here), 2), np.nan)
+        return here.drop(columns=["_i", "_j"]).assign(**{names[0]: got[:, 0], names[1]: got[:, 1]})
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in targets.schema.fields)
+    return c.groupBy("i", "j").cogroup(t.groupBy("_i", "_j")).applyInPandas(run, f"{schema}, {names[0]} double, {names[1]} double")
+
+
+def warp(pixels: DataFrame, points: DataFrame, n_x: int, n_y: int, method: str = "bilinear") -> DataFrame:
+    """(x, y, spectrum): ``pixels`` (y, x, spectrum) on a regular map grid of ``n_x`` by ``n_y`` cells over the extent of control points (row, col, x, y).
+
+    Splines through the points lead from the map to the image. ``method`` is ``nearest`` or ``bilinear``; cells outside the image, and bilinear
+    bands with a missing neighbour, are NULL. Pixel labels are half-integers at centres, as rows and columns of points count from a corner.
+    """
+    if method not in ("nearest", "bilinear"):
+        raise ValueError(f"unknown resampling: {method!r}")
+    spark = pixels.sparkSession
+    e = points.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+    at = lambda n, k, low, high: F.lit(low) + (n + F.lit(0.5)) * F.lit((high - low) / k)
+    ids = spark.range(n_x * n_y)
+    grid = ids.select(at(F.col("id") % n_x, n_x, e.x0, e.x1).alias("x"), at(F.floor(F.col("id") / n_x), n_y, e.y0, e.y1).alias("y"))
+    centres = points.select(F.col("x").alias("u"), F.col("y").alias("v"), F.col("col").alias("a"), F.col("row").alias("b"))
+    t = spline_at(centres, grid, ("x", "y"), ("_col", "_row"))
+    source = pixels.select(F.col("x").alias("_sx"), F.col("y").alias("_sy"), "spectrum")
+    if method == "nearest":
+        t = t.withColumns({"_sx": F.floor("_col") + 0.5, "_sy": F.floor("_row") + 0.5})
+        return t.join(source, ["_sx", "_sy"], "left").select("x", "y", "spectrum")
+    fx, fy = F.col("_col") - 0.5 - F.floor(F.col("_col") - 0.5), F.col("_row") - 0.5 - F.floor(F.col("_row") - 0.5)
+    near = F.array(*(F.struct((F.floor(F.col("_col") - 0.5) + 0.5 + i).alias("sx"), (F.floor(F.col("_row") - 0.5) + 0.5 + j).alias("sy"), ((fx if i else 1 - fx) * (fy if j else 1 - fy)).alias("w")) for i in (0, 1) for j in (0, 1)))
+    four = t.select("x", "y", F.explode(F.filter(near, lambda p: p["w"] > 0)).alias("p")).select("x", "y", F.col("p.sx").alias("_sx"), F.col("p.sy").alias("_sy"), "p.w")
+    met = four.join(source, ["_sx", "_sy"], "left").groupBy("x", "y").agg(F.collect_list(F.struct("w", "spectrum")).alias("m"), F.count_if(F.col("spectrum").isNull()).alias("gaps"))
+    scaled = F.transform("m", lambda p: F.transform(p["spectrum"], lambda v: v * p["w"]))
+    total = F.aggregate(F.slice(scaled, 2, 3), F.get(scaled, 0), lambda s, p: F.zip_with(s, p, lambda a, b: a + b))
+    return met.select("x", "y", F.when(F.col("gaps") == 0, total).alias("spectrum"))
 
 
 def regular_grid(located: DataFrame, n_lon: int, n_lat: int, value: str = "value") -> DataFrame:

@@ -11,6 +11,15 @@ from ..functions import radiometry as R
 MANY_KNOTS = 100_000
 
 
+#: Rows of a table by line or by sample up to which it is broadcast.
+MANY_LINES = 500_000
+
+
+def small(df: DataFrame, limit: int = MANY_LINES) -> DataFrame:
+    """``df`` with a broadcast hint if it is counted to have at most ``limit`` rows."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def line_times(spark: SparkSession, start: float, step_ms: float, lines: int, reverse: bool = False) -> DataFrame:
     """(line, t): a clock from ``start`` seconds. ``reverse`` counts it from the last line."""
     n = F.col("id") if not reverse else F.lit(lines - 1) - F.col("id")

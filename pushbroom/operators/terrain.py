@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import radiometry as R
-from .sun import interpolate_at
+from .sun import interpolate_at, small
 
 
 def gradient(dem: DataFrame, step_x: float = 1.0, step_y: float = 1.0, keys: tuple[str, ...] = ("product_id",)) -> DataFrame:
@@ -44,7 +44,8 @@ def regrid(grid: DataFrame, xs: DataFrame, ys: DataFrame, value: str = "z") -> D
     """
     bounds = grid.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
     inside = lambda d, c, a, b: d.where(F.col(c).between(a, b))
-    along = inside(xs, "x", bounds[0], bounds[1]).crossJoin(F.broadcast(grid.select("y").distinct()))
+    # the targets of one axis meet the lines or samples of the other, which is the result's own size; a side is broadcast only when counted
+    along = inside(xs, "x", bounds[0], bounds[1]).crossJoin(small(grid.select("y").distinct()))
     once = interpolate_at(along, grid, "x", [value], ("y",), "x")
-    down = inside(ys, "y", bounds[2], bounds[3]).crossJoin(F.broadcast(once.select("x").distinct()))
+    down = inside(ys, "y", bounds[2], bounds[3]).crossJoin(small(once.select("x").distinct()))
     return interpolate_at(down, once, "y", [value], ("x",), "y").select("y", "x", value)

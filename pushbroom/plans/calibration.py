@@ -9,19 +9,14 @@ from __future__ import annotations
 import math
 import warnings
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed as K
 from ..functions import radiometry as R
 from ..operators import spectra as S
-
-#: Rows of a table by line or by sample up to which it is broadcast.
-MANY_LINES = 500_000
-
-
-def _small(df: DataFrame, limit: int = MANY_LINES) -> DataFrame:
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+from ..operators.sun import small
 
 
 def gain_arrays(lut: DataFrame, bands: int) -> DataFrame:
@@ -38,7 +33,7 @@ def to_radiance(pixels: DataFrame, lut: DataFrame, saturation: Column | None, ba
     """
     table = gain_arrays(lut, bands)
     keys = ["exp_gain", "x"] if "exp_gain" in pixels.columns else ["x"]
-    p = pixels.join(_small(table if len(keys) == 2 else table.drop("exp_gain")), keys)
+    p = pixels.join(small(table if len(keys) == 2 else table.drop("exp_gain")), keys)
     s = F.transform("spectrum", lambda v, i: R.radiance(v, F.get("gains", i), F.get("offsets", i), convert_offset))
     s = S.mask_bands(s, masked)
     if saturation is not None:
@@ -49,7 +44,7 @@ def to_radiance(pixels: DataFrame, lut: DataFrame, saturation: Column | None, ba
 
 def with_lines(pixels: DataFrame, lines: DataFrame) -> DataFrame:
     """Adds what ``lines`` (product_id, y, ...) knows of each line; lines without an entry stay, with NULLs."""
-    return pixels.join(_small(lines), ["product_id", "y"], "left")
+    return pixels.join(small(lines), ["product_id", "y"], "left")
 
 
 def to_reflectance(pixels: DataFrame, wl: Column, flux: Column, thermal: str = "", cos_inc: Column | None = None, thermal_bands: tuple[int, int] = K.THERMAL_BANDS) -> DataFrame:
@@ -61,12 +56,22 @@ def to_reflectance(pixels: DataFrame, wl: Column, flux: Column, thermal: str = "
     return pixels.withColumn("spectrum", S.reflect(F.col("spectrum"), heat, c, flux))
 
 
+def _covers(spark: SparkSession, bad: Column, bands: tuple[int, int]) -> bool:
+    """Whether flags that do not depend on a row are true in all of ``bands``."""
+    n = bands[1] - bands[0] + 1
+    part = F.filter(F.slice(bad, bands[0], n), lambda b: F.coalesce(b, F.lit(False)))
+    try:
+        return spark.range(1).select(F.size(part) == n).first()[0]
+    except AnalysisException:  # flags by row: their pixels tell
+        return False
+
+
 def full_reflectance(pixels: DataFrame, wl: Column, flux: Column, bad: Column | None = None, cos_inc: Column | None = None, thermal: str = "verma", signal_band: int = 10, least_signal: float = 0.5, max_refl: float = math.inf, polish: Column | None = None, smoothing: str = "none", width: int = 1, thermal_bands: tuple[int, int] = K.THERMAL_BANDS) -> DataFrame:
     """The whole chain from scaled radiance: bad bands, low signal, thermal removal, I/F, range, polish, smoothing.
 
     Bad bands that cover all thermal bands leave no temperature and so no reflectance at all; then a warning says so.
     """
-    if thermal and bad is not None:
+    if thermal and bad is not None and _covers(pixels.sparkSession, bad, thermal_bands):
         warnings.warn("a setting whose bad bands hold every thermal band gives NULL reflectance; use thermal=''", stacklevel=2)
     s = F.col("spectrum")
     p = pixels.withColumn("spectrum", S.mask_flagged(s, bad)) if bad is not None else pixels

@@ -1,6 +1,7 @@
 """Small cases worked out by hand, and properties that hold whatever the data."""
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -167,8 +168,55 @@ def test_closed_form_is_the_transform(spark, ny):
     assert np.allclose(got, fourier.filtered(im, fourier.filter_mask(*im.shape)))
 
 
+def drawn_mask(height, width, vthresh, vtilt, hthresh, htilt):
+    """The mask pixel by pixel with exact fractions: a pixel goes if a triangle covers it or an edge, rounded along its steeper axis, passes through it."""
+    cy, cx = height // 2, width // 2
+    a, b, c, d = int(cy * vtilt), int(cx * (1 - vthresh)), int(cx * htilt), int(cy * (1 - hthresh))
+    triangles = [[(x, cy - a), (cx + s * b, cy), (x, cy + a)] for x, s in ((0, -1), (width, 1))]
+    triangles += [[(cx - c, y), (cx, cy + s * d), (cx + c, y)] for y, s in ((0, -1), (height, 1))]
+    half = Fraction(1, 2)
+
+    def on_edge(x, y, p, q):
+        (x0, y0), (x1, y1) = p, q
+        if p == q:
+            return (x, y) == p
+        if abs(x1 - x0) >= abs(y1 - y0):
+            return min(x0, x1) <= x <= max(x0, x1) and math.floor(y0 + Fraction((x - x0) * (y1 - y0), x1 - x0) + half) == y
+        return min(y0, y1) <= y <= max(y0, y1) and math.floor(x0 + Fraction((y - y0) * (x1 - x0), y1 - y0) + half) == x
+
+    def covers(t, x, y):
+        turns = [(q[0] - p[0]) * (y - p[1]) - (q[1] - p[1]) * (x - p[0]) for p, q in zip(t, t[1:] + t[:1])]
+        flat = (t[1][0] - t[0][0]) * (t[2][1] - t[0][1]) == (t[1][1] - t[0][1]) * (t[2][0] - t[0][0])
+        return not flat and (all(v >= 0 for v in turns) or all(v <= 0 for v in turns))
+
+    gone = lambda x, y: any(covers(t, x, y) or any(on_edge(x, y, p, q) for p, q in zip(t, t[1:] + t[:1])) for t in triangles)
+    return np.array([[0.0 if gone(x, y) else 1.0 for x in range(width)] for y in range(height)])
+
+
+def summed_filter(image, mask):
+    """The filter by sums of waves, frequency by frequency."""
+    ny, nx = image.shape
+    u, v = np.arange(nx) - nx // 2, np.arange(ny) - ny // 2
+    fx, fy = np.exp(-2j * np.pi * np.outer(u, np.arange(nx)) / nx), np.exp(-2j * np.pi * np.outer(v, np.arange(ny)) / ny)
+    f = np.array([[sum(fy[k, i] * fx[m, j] * image[i, j] for i in range(ny) for j in range(nx)) for m in range(nx)] for k in range(ny)]) * mask
+    back = np.array([[sum(np.conj(fy[k, i] * fx[m, j]) * f[k, m] for k in range(ny) for m in range(nx)) for j in range(nx)] for i in range(ny)]) / (nx * ny)
+    return np.where(image != 0, np.abs(back), 0.0), f
+
+
+@pytest.mark.parametrize("shape", [(6, 9), (7, 8), (12, 10)])
+@pytest.mark.parametrize("thresholds", [(0.6, 0.3, 0.2, 0.2), (0.7, 0.2, 0.4, 0.1), (0.8, 0.9, 0.9, 0.5)])
+def test_masks_are_drawn_triangles(shape, thresholds):
+    assert (fourier.filter_mask(*shape, *thresholds) == drawn_mask(*shape, *thresholds)).all()
+
+
 def test_tilted_masks_run_by_band(spark):
-    im = np.random.default_rng(4).uniform(1, 2, (6, 9))
-    got = image_of(fourier.destripe(cube_of(spark, [im]), 0.6, 0.3, 0.2, 0.2), im.shape)
-    assert np.allclose(got, fourier.filtered(im, fourier.filter_mask(6, 9, 0.6, 0.3, 0.2, 0.2)))
-    assert fourier.spectrum_at(cube_of(spark, [im]), 1).count() == 54
+    rng = np.random.default_rng(4)
+    images, thresholds = [rng.uniform(1, 2, (6, 9)) for _ in range(2)], (0.6, 0.3, 0.2, 0.2)
+    out = fourier.destripe(cube_of(spark, images), *thresholds)
+    for b, im in enumerate(images):
+        want, f = summed_filter(im, drawn_mask(6, 9, *thresholds))
+        assert np.allclose(image_of(out.where(F.col("band") == b + 1), im.shape), want)
+    tuned = fourier.spectrum_at(cube_of(spark, images), 2, vthresh=0.6, vtilt=0.3, hthresh=0.2, htilt=0.2).collect()
+    assert len(tuned) == 54
+    for r in tuned:
+        assert r.decibels == (None if abs(f[r.v, r.u]) == 0 else pytest.approx(20 * np.log(abs(f[r.v, r.u])), abs=1e-6))
