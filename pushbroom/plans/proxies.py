@@ -5,10 +5,15 @@ Each embedding is the spectrum of a pixel; 25 pixels make a line, 64 bands a spe
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cube as C
+from ..sources import files, qub
 
 BANDS, SAMPLES = 64, 25
 #: Bands that stand for those of the surface temperature.
@@ -42,10 +47,10 @@ def cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(exp_gain, band, x, gain, offset): a row for each part of a cube's bands; later parts have none."""
+    """(exp_gain, band, x, gain, offset): a row for each part, as many bands as parts reach; a cube takes those it has."""
     p = table(spark, sf_dir, "part")
     band = (F.floor(F.col("p_partkey") / SAMPLES) + 1).cast("int")
-    return p.where(band <= BANDS).select(F.lit("e1g2").alias("exp_gain"), band.alias("band"), (F.col("p_partkey") % SAMPLES + 0.5).cast("double").alias("x"), (F.col("p_retailprice") / 1e5).alias("gain"), (F.col("p_size") / 100.0).alias("offset"))
+    return p.select(F.lit("e1g2").alias("exp_gain"), band.alias("band"), (F.col("p_partkey") % SAMPLES + 0.5).cast("double").alias("x"), (F.col("p_retailprice") / 1e5).alias("gain"), (F.col("p_size") / 100.0).alias("offset"))
 
 
 def luts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,14 +94,6 @@ def bad_flags() -> Column:
 
 
 def knots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A sun-parameter series: the events of the least user of all."""
-    e = table(spark, sf_dir, "events")
-    first = e.agg(F.min("user_id").alias("u"))
-    e = e.join(F.broadcast(first), F.col("user_id") == F.col("u"))  # one row
-    return e.select((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"), (F.col("value") % 60.0).alias("sun_elev"), (F.col("value") % 360.0).alias("sun_az"))
-
-
-def all_knots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sun-parameter series of all events."""
     return table(spark, sf_dir, "events").select((F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("timestamp"), (F.col("value") % 60.0).alias("sun_elev"), (F.col("value") % 360.0).alias("sun_az"))
 
@@ -134,7 +131,40 @@ def geometry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select((k % 6 * 50.0).alias("Pixel"), (F.floor(k / 6) * 50.0).alias("Scan"), (150.0 + k % 6 * 8.0 + F.floor(k / 6) * 0.5).alias("Longitude"), (-20.0 + F.floor(k / 6) * 0.9 + k % 6 * 0.1).alias("Latitude"))
 
 
-def centres(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(Pixel, Scan, Longitude, Latitude): the first 60 pixels, their first two bands as longitude and latitude."""
-    p = pixels(spark, sf_dir).where(F.col("y") * SAMPLES + F.col("x") < 60 + SAMPLES / 2 + 0.5)
-    return p.select(F.col("x").alias("Pixel"), F.col("y").alias("Scan"), F.get("spectrum", F.lit(0)).alias("Longitude"), F.get("spectrum", F.lit(1)).alias("Latitude"))
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path for a file that a query writes to read it again: below ``spark.checkpoint.dir``, which executors share, or a local folder on one machine."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if root is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(root or tempfile.gettempdir()).rstrip('/')}/queries-{uuid.uuid4().hex}/{name}"
+
+
+def text_file(spark: SparkSession, lines: DataFrame, name: str) -> str:
+    """The path of a written file of ``lines`` (n, value) in the order of n."""
+    path = scratch(spark, name)
+    lines.repartition(1).sortWithinPartitions("n").select("value").write.text(path)
+    return path
+
+
+def cube_file(spark: SparkSession, sf_dir: str) -> str:
+    """The path of a band-sequential file of the pixels; those that fill up the last line are missing values."""
+    p = pixels(spark, sf_dir)
+    grid = p.select("product_id", "y").distinct().crossJoin(spark.range(SAMPLES).select((F.col("id") + 0.5).alias("x")))  # 25 samples
+    whole = grid.join(p, ["product_id", "y", "x"], "left").withColumn("spectrum", F.coalesce("spectrum", F.array_repeat(F.lit(None).cast("double"), BANDS)))
+    path = files.local(scratch(spark, "cube.img"))
+    if path is None:
+        raise ValueError("a cube file is written by the driver, to a mounted folder")
+    Path(path).parent.mkdir(parents=True)
+    qub.write_envi(C.to_long(whole), path)
+    return path
+
+
+def part_lines(spark: SparkSession, sf_dir: str, *fields: Column, sep: str = ",") -> DataFrame:
+    """(n, value): a line a part, of its fields."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("n"), F.concat_ws(sep, *(f.cast("string") for f in fields)).alias("value"))
+
+
+def headed(spark: SparkSession, lines: DataFrame, *headers: str) -> DataFrame:
+    """``lines`` (n, value) below header lines."""
+    return lines.unionByName(spark.createDataFrame([(k - len(headers), h) for k, h in enumerate(headers)], "n long, value string"))

@@ -13,7 +13,7 @@ from ..functions import radiometry as R
 from ..operators import cube as C
 from ..operators import detector, fourier, geometry, sun, terrain
 from ..operators import spectra as S
-from ..sources import integrity, tables
+from ..sources import integrity, qub, tables
 from . import calibration
 from . import proxies as P
 from .sql import ORACLE_SQL
@@ -145,13 +145,6 @@ def interp_bands_maxgap(spark, sf_dir):
 
 @query
 def bad_band_buffer(spark, sf_dir):
-    p = P.table(spark, sf_dir, "part").where(f"p_partkey < {K.BANDS}")
-    flags = p.select(F.lit("e1g2").alias("exp_gain"), (F.col("p_partkey") + 1).cast("int").alias("band"), (F.col("p_size") > 45).alias("bad"))
-    return detector.buffered(flags, 2).select("band", "bad")
-
-
-@query
-def bad_band_buffer_whole(spark, sf_dir):
     """All parts: a block of as many as there are bands is a setting, so no window holds more."""
     block, band = F.floor(F.col("p_partkey") / K.BANDS).cast("long"), (F.col("p_partkey") % K.BANDS + 1).cast("int")
     flags = P.table(spark, sf_dir, "part").select(block.alias("exp_gain"), band.alias("band"), (F.col("p_size") > 45).alias("bad"))
@@ -160,11 +153,6 @@ def bad_band_buffer_whole(spark, sf_dir):
 
 @query
 def lut_denoise(spark, sf_dir):
-    return detector.denoise(P.lut(spark, sf_dir), 1.0, 0.5).select("band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))
-
-
-@query
-def lut_denoise_whole(spark, sf_dir):
     out = detector.denoise(P.luts(spark, sf_dir), 1.0, 0.5)
     return out.select(F.col("exp_gain").alias("lut"), "band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))
 
@@ -193,12 +181,6 @@ def sun_incidence(spark, sf_dir):
     return lit.select("line", _rounded("inc").alias("inc"), _rounded("iaz").alias("iaz"))
 
 
-@query
-def sun_incidence_whole(spark, sf_dir):
-    lit = sun.illumination(P.clock(spark, sf_dir), P.all_knots(spark, sf_dir), descending=True)
-    return lit.select("line", _rounded("inc").alias("inc"), _rounded("iaz").alias("iaz"))
-
-
 @query
 def solar_flux(spark, sf_dir):
     c = spark.createDataFrame([(b, v) for b, v in enumerate(P.irradiance(), 1)], "band int, l double")
@@ -212,13 +194,6 @@ def reflectance(spark, sf_dir):
     return _values(calibration.to_reflectance(p, P.wavelengths(), P.flux()))
 
 
-@query
-def reflectance_whole(spark, sf_dir):
-    lit = sun.illumination(P.clock(spark, sf_dir), P.all_knots(spark, sf_dir)).select("product_id", "y", "inc", "iaz")
-    p = calibration.with_lines(P.lit_pixels(spark, sf_dir), lit)
-    return _values(calibration.to_reflectance(p, P.wavelengths(), P.flux()))
-
-
 @query
 def brightness_temp(spark, sf_dir):
     return _values(P.lit_pixels(spark, sf_dir).withColumn("spectrum", F.transform(_s(), lambda v, i: R.brightness_temperature(v, F.get(P.wavelengths(), i)))))
@@ -283,12 +258,6 @@ def illumination_report(spark, sf_dir):
 
 @query
 def dem_regrid(spark, sf_dir):
-    xs, ys = spark.range(30).select((F.col("id") + 0.25).alias("x")), spark.range(12).select((F.col("id") * 1.5 + 1.0).alias("y"))
-    return terrain.regrid(P.dem(spark, sf_dir).select("y", "x", "z"), xs, ys).select("y", "x", _rounded("z").alias("z"))
-
-
-@query
-def dem_regrid_whole(spark, sf_dir):
     xs, ys = P.regrid_targets(spark, sf_dir)
     return terrain.regrid(P.dem(spark, sf_dir).select("y", "x", "z"), xs, ys).select("y", "x", _rounded("z").alias("z"))
 
@@ -323,14 +292,6 @@ def latlon_pivot(spark, sf_dir):
 
 @query
 def tps_grid(spark, sf_dir):
-    """Splines evaluated at their own centres, whose values they must give back."""
-    c = P.centres(spark, sf_dir)
-    out = geometry.spline_grid(c, c.select(F.col("Pixel").alias("x"), F.col("Scan").alias("y")))
-    return out.select("x", "y", _rounded("lon").alias("lon"), _rounded("lat").alias("lat"))
-
-
-@query
-def tps_grid_whole(spark, sf_dir):
     """The splines through every point of the geometry grid, evaluated at every pixel; longitudes are not wrapped, so they have no jump."""
     out = geometry.spline_grid(P.geometry(spark, sf_dir), P.pixels(spark, sf_dir).select("x", "y"))
     return out.select("x", "y", _rounded("lon").alias("lon"), _rounded("lat").alias("lat"))
@@ -375,7 +336,7 @@ def solar_distance(spark, sf_dir):
 
 @query
 def md5_verify(spark, sf_dir):
-    d = P.table(spark, sf_dir, "documents").where("text IS NOT NULL")
+    d = P.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     files = d.select("doc_id", integrity.md5(F.col("text").cast("binary")).alias("md5"))
     said = d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.md5(F.lit(b"other"))).otherwise(F.upper(F.md5(F.col("text").cast("binary")))).alias("md5_checksum"))
     return integrity.verify(files, said, "doc_id").select("doc_id", "md5", "ok")
@@ -417,6 +378,73 @@ def spm_records(spark, sf_dir):
     return r.select(F.col("row").cast("long").alias("row"), "year", _rounded("timestamp").alias("timestamp"), "sun_az", "sun_elev")
 
 
+# readers, of files that are written from the tables first
+
+
+@query
+def qub_long(spark, sf_dir):
+    c = qub.read_qub(spark, P.cube_file(spark, sf_dir)).where("value IS NOT NULL")
+    return c.select("band", "y", "x", _rounded("value").alias("value"))
+
+
+@query
+def qub_to_rad(spark, sf_dir):
+    """The calibration of counts, on spectra as the reader of cube files yields them."""
+    p = qub.read_qub(spark, P.cube_file(spark, sf_dir), 7, "spectral").where(F.exists("spectrum", lambda v: v.isNotNull()))
+    return _values(calibration.to_radiance(p, P.lut(spark, sf_dir), P.saturation(), P.BANDS))
+
+
+@query
+def gain_offset_file(spark, sf_dir):
+    lines = P.part_lines(spark, sf_dir, F.col("p_retailprice") / 1e5, F.col("p_size") / 100.0)
+    t = tables.read_gain_offset(spark, P.text_file(spark, lines, "sat_cal_e3g2_lut_coeff.csv"), samples=P.SAMPLES)
+    return t.select("exp_gain", "band", "x", _rounded("gain").alias("gain"), _rounded("offset").alias("offset"))
+
+
+@query
+def saturation_file(spark, sf_dir):
+    k = F.col("p_partkey")
+    lines = P.part_lines(spark, sf_dir, k, F.col("p_size"), F.when(k % 7 == 0, -9999.0).when(k % 7 == 1, 16384.0).otherwise(F.col("p_retailprice")))
+    path = P.text_file(spark, lines, "sat_cal_e4g2_saturations_radiance.csv")
+    t = tables.read_saturation(spark, path, sentinels=False).withColumnRenamed("saturation", "range")
+    both = t.join(tables.read_saturation(spark, path, "radiance"), ["exp_gain", "band"])
+    return both.select("exp_gain", "band", _rounded("range").alias("range"), _rounded("saturation").alias("saturation"))
+
+
+@query
+def validity_file(spark, sf_dir):
+    k = F.col("p_partkey")
+    lines = P.headed(spark, P.part_lines(spark, sf_dir, k + 1, F.lit(1), (F.col("p_size") <= 45).cast("int")), "band,e1g2,e2g2")
+    return detector.bad_bands(tables.read_validity(spark, P.text_file(spark, lines, "validity.csv")), "e2g2", 2)
+
+
+@query
+def polish_file(spark, sf_dir):
+    lines = P.headed(spark, P.part_lines(spark, sf_dir, F.col("p_partkey") + 8, 1 + F.col("p_size") / 1000.0), "band,polish")
+    return tables.read_polish(spark, P.text_file(spark, lines, "polish.csv")).select("band", _rounded("polish").alias("polish"))
+
+
+@query
+def solar_flux_file(spark, sf_dir):
+    lines = P.part_lines(spark, sf_dir, F.lit(800.1234) + 17.25 * F.col("p_partkey"), F.col("p_retailprice") / 10.0, sep="\t")
+    t = tables.read_solar_flux(spark, P.text_file(spark, lines, "flux.txt"), 0.9855)
+    return t.select("band", "wl", _rounded("flux").alias("flux"))
+
+
+@query
+def geometry_file(spark, sf_dir):
+    g = P.geometry(spark, sf_dir).select(F.monotonically_increasing_id().alias("n"), F.concat_ws(",", F.col("Latitude") + 0.0, "Scan", "Pixel", "Longitude").alias("value"))
+    t = geometry.wrapped(tables.read_geometry(spark, P.text_file(spark, P.headed(spark, g, "Latitude,Scan,Pixel,Longitude"), "grid.csv")), center=True)
+    return t.select("Pixel", "Scan", _rounded("Longitude").alias("Longitude"), _rounded("Latitude").alias("Latitude"))
+
+
+@query
+def points_file(spark, sf_dir):
+    g = P.geometry(spark, sf_dir).select(F.monotonically_increasing_id().alias("n"), F.concat_ws(",", "Longitude", "Latitude", "Pixel", "Scan", F.lit(1)).alias("value"))
+    points, crs = tables.read_control_points(spark, P.text_file(spark, P.headed(spark, g, "#CRS: SOME WKT", "mapX,mapY,sourceX,sourceY,enable"), "a.points"))
+    return points.select("row", "col", _rounded("x").alias("x"), _rounded("y").alias("y"), F.lit(crs).alias("crs"))
+
+
 # chains
 
 

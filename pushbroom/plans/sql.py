@@ -16,7 +16,7 @@ _PX = "px AS (SELECT (vec_id // 25 + 0.5)::DOUBLE AS y, (vec_id % 25 + 0.5)::DOU
 _C = f"{_PX}, c AS (SELECT y, x, b::INT AS band, embedding[b]::DOUBLE AS v FROM px, range(1, 65) r(b))"
 _LIT = f"{_C}, l AS (SELECT y, x, band, (abs(v) + 0.01::DOUBLE) * 10 AS v FROM c)"
 _HOLED = f"{_C}, h AS (SELECT y, x, band, CASE WHEN abs(v) >= 0.05::DOUBLE AND band NOT BETWEEN 20 AND 29 AND band NOT BETWEEN 40 AND 50 THEN v END AS v FROM c)"
-_LUT = "lut AS (SELECT (p_partkey // 25 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, p_retailprice / 1e5::DOUBLE AS gain, p_size / 100::DOUBLE AS off FROM part WHERE p_partkey // 25 < 64)"
+_LUT = "lut AS (SELECT (p_partkey // 25 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, p_retailprice / 1e5::DOUBLE AS gain, p_size / 100::DOUBLE AS off FROM part)"
 _LINES = "lines AS (SELECT DISTINCT y, 20 + (y / 2::DOUBLE) % 60 AS inc, (y * 3) % 360 AS iaz, -30 + y / 10::DOUBLE AS lat FROM px)"
 _WL = "((4000 + 13 * band) * 1e-9::DOUBLE)"
 _FLUX = "((100 + 3 * band)::DOUBLE * 10 / pi())"
@@ -24,15 +24,13 @@ _C1, _C2 = f"{2 * K.PLANCK * K.LIGHT**2!r}::DOUBLE", f"{K.PLANCK * K.LIGHT / K.B
 _BT = f"({_C2} / ({_WL} * ln({K.EMISSIVITY * 2 * K.PLANCK * K.LIGHT**2 * 1e-6!r}::DOUBLE / (v * pow({_WL}, 5)) + 1)))"
 _HEAT = f"({K.EMISSIVITY}::DOUBLE * {1e-6 * 2 * K.PLANCK * K.LIGHT**2!r}::DOUBLE / (pow({_WL}, 5) * (exp({_C2} / ({_WL} * t)) - 1)))"
 _GEO = "geo AS (SELECT s_suppkey % 6 * 50::DOUBLE AS px, s_suppkey // 6 * 50::DOUBLE AS sc, (150 + s_suppkey % 6 * 8 + s_suppkey // 6 * 0.5::DOUBLE) AS lon, -20 + s_suppkey // 6 * 0.9::DOUBLE + s_suppkey % 6 * 0.1::DOUBLE AS lat FROM supplier), g AS (SELECT px, sc, (((lon + 180) % 360) + 360) % 360 - 180 AS lon, lat FROM geo)"
-_SPM = """e AS (SELECT epoch_us(ts) / 1e6::DOUBLE AS ts, value % 60 AS elev, value % 360 AS az FROM events WHERE user_id = (SELECT min(user_id) FROM events)),
+_SPM = """e AS (SELECT epoch_us(ts) / 1e6::DOUBLE AS ts, value % 60 AS elev, value % 360 AS az FROM events),
     k AS (SELECT ts, avg(elev) AS elev, avg(az) AS az FROM e GROUP BY ts),
     s AS (SELECT ts AS t0, lead(ts) OVER w AS t1, elev AS e0, lead(elev) OVER w AS e1, az AS a0, lead(az) OVER w AS a1, row_number() OVER w AS n, lead(ts, 2) OVER w AS t2 FROM k WINDOW w AS (ORDER BY ts)),
     seg AS (SELECT *, CASE WHEN n > 1 THEN t0 END AS lo, CASE WHEN t2 IS NOT NULL THEN t1 END AS hi FROM s WHERE t1 IS NOT NULL),
     clock AS (SELECT DISTINCT vec_id // 25 AS line, (vec_id // 25 + 0.5)::DOUBLE AS y, (SELECT min(epoch_us(ts)) FROM events) / 1e6::DOUBLE - 1800 + 60.0::DOUBLE * (vec_id // 25) AS t FROM embeddings),
     sun AS (SELECT line, y, e0 + (t - t0) * (e1 - e0) / (t1 - t0) AS elev, a0 + (t - t0) * (a1 - a0) / (t1 - t0) AS az FROM clock JOIN seg ON (lo IS NULL OR t >= lo) AND (hi IS NULL OR t < hi))"""
 
-_SPM_WHOLE = _SPM.replace(" WHERE user_id = (SELECT min(user_id) FROM events)", "")
-
 
 def _filled(src: str, gap: str) -> str:
     """CTE ``f``: ``src`` with holes filled linearly under the condition ``gap`` on pb and nb."""
@@ -69,12 +67,8 @@ _add("low_signal_mask", _plain(_LIT, "l", "CASE WHEN max(CASE WHEN band = 10 THE
 _add("max_refl", _plain(_C, "c", "CASE WHEN v <= 0.1::DOUBLE THEN v END"))
 _add("cosinc_mask", f"WITH {_PX}, {_LINES} SELECT y, {_r('CASE WHEN c > 0.03::DOUBLE AND c < 0.999::DOUBLE THEN c END')} AS cos_inc FROM (SELECT y, cos(radians(inc * 1.2::DOUBLE)) AS c FROM lines)")
 _add("interp_bands_maxgap", _plain(f"{_HOLED}, {_filled('h', 'nb - pb <= 11')}", "f"))
-_add("bad_band_buffer", "SELECT (p_partkey + 1)::INT AS band, bool_or(p_size > 45) OVER (ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part WHERE p_partkey < 256")
-_add("bad_band_buffer_whole", "SELECT p_partkey // 256 AS block, (p_partkey % 256 + 1)::INT AS band, bool_or(p_size > 45) OVER (PARTITION BY p_partkey // 256 ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part")
-_add("lut_denoise", f"""WITH {_LUT}, r AS (SELECT *, gain - median(gain) OVER w AS gr, off - median(off) OVER w AS orr FROM lut WINDOW w AS (PARTITION BY band ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
-    s AS (SELECT *, stddev_pop(gr) OVER () AS gs, stddev_pop(orr) OVER () AS os FROM r)
-    SELECT band, x, {_r('CASE WHEN abs(gr / nullif(gs, 0)) < 1 THEN gain END')} AS gain, {_r('CASE WHEN abs(orr / nullif(os, 0)) < 0.5 THEN off END')} AS offset FROM s""")
-_add("lut_denoise_whole", f"""WITH lut AS (SELECT p_partkey // 1600 AS lut, (p_partkey // 25 % 64 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, p_retailprice / 1e5::DOUBLE AS gain, p_size / 100::DOUBLE AS off FROM part),
+_add("bad_band_buffer", "SELECT p_partkey // 256 AS block, (p_partkey % 256 + 1)::INT AS band, bool_or(p_size > 45) OVER (PARTITION BY p_partkey // 256 ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part")
+_add("lut_denoise", f"""WITH lut AS (SELECT p_partkey // 1600 AS lut, (p_partkey // 25 % 64 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, p_retailprice / 1e5::DOUBLE AS gain, p_size / 100::DOUBLE AS off FROM part),
     r AS (SELECT *, gain - median(gain) OVER w AS gr, off - median(off) OVER w AS orr FROM lut WINDOW w AS (PARTITION BY lut, band ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
     s AS (SELECT *, stddev_pop(gr) OVER (PARTITION BY lut) AS gs, stddev_pop(orr) OVER (PARTITION BY lut) AS os FROM r)
     SELECT lut, band, x, {_r('CASE WHEN abs(gr / nullif(gs, 0)) < 1 THEN gain END')} AS gain, {_r('CASE WHEN abs(orr / nullif(os, 0)) < 0.5 THEN off END')} AS offset FROM s""")
@@ -84,10 +78,8 @@ _add("stripe_counts", f"{_STRIPES} SELECT band, x, n_off FROM s")
 _add("stripe_flags", f"{_STRIPES} SELECT band, x, n_off > 0.6826894921370859::DOUBLE * lines AS is_stripe FROM s")
 _add("line_times", f"SELECT i AS line, {_r('1600000000 + 0.0248::DOUBLE * i')} AS t FROM range(500) r(i)")
 _add("sun_incidence", f"WITH {_SPM} SELECT line, {_r('90 - abs(elev)')} AS inc, {_r('az - 180')} AS iaz FROM sun")
-_add("sun_incidence_whole", f"WITH {_SPM_WHOLE} SELECT line, {_r('90 - abs(elev)')} AS inc, {_r('az - 180')} AS iaz FROM sun")
 _add("solar_flux", f"SELECT b::INT AS band, {_r('(100 + 3 * b)::DOUBLE * 10 / (pi() * 0.9855::DOUBLE * 0.9855::DOUBLE)')} AS flux, {_r('round_even((100 + 3 * b)::DOUBLE * 10 / 3.14::DOUBLE, 4)')} AS flux_rounded FROM range(1, 65) r(b)")
 _add("reflectance", f"WITH {_LIT}, {_SPM} SELECT band, l.y, x, {_r(f'v / (cos(radians(90 - abs(elev))) * {_FLUX})')} AS value FROM l LEFT JOIN sun ON l.y = sun.y")
-_add("reflectance_whole", f"WITH {_LIT}, {_SPM_WHOLE} SELECT band, l.y, x, {_r(f'v / (cos(radians(90 - abs(elev))) * {_FLUX})')} AS value FROM l LEFT JOIN sun ON l.y = sun.y")
 _add("brightness_temp", _plain(_LIT, "l", _BT))
 _T = f"t AS (SELECT y, x, avg({_BT}) AS t FROM l WHERE band BETWEEN 41 AND 60 GROUP BY y, x)"
 _add("mean_temperature", f"WITH {_LIT}, {_T} SELECT y, x, {_r('t')} AS t FROM t")
@@ -108,10 +100,6 @@ _COS = f"""{_DEM}, {_LINES}, q AS (SELECT g.y, x, gx / 8 AS p, gy / 8 AS q, radi
 _add("dem_cos_inc", f"WITH {_COS} SELECT y, x, {_r('c')} AS cos_inc FROM n")
 _add("illumination_report", f"WITH {_COS} SELECT bool_or(c IS NULL) AS has_missing, {_r('min(c)')} AS least, min(c) < 0 AS any_negative FROM n")
 _add("dem_regrid", f"""WITH {_PX}, d AS (SELECT y, x, embedding[12]::DOUBLE * 100 AS z FROM px), e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM d),
-    xs AS (SELECT i + 0.25::DOUBLE AS u FROM range(30) r(i), e WHERE i + 0.25 BETWEEN x0 AND x1), ys AS (SELECT i * 1.5::DOUBLE + 1 AS w FROM range(12) r(i), e WHERE i * 1.5 + 1 BETWEEN y0 AND y1),
-    p AS (SELECT u, w, sum(z * greatest(0, 1 - abs(x - u)) * greatest(0, 1 - abs(y - w))) AS z FROM xs, ys, d WHERE abs(x - u) < 1 AND abs(y - w) < 1 GROUP BY u, w)
-    SELECT w AS y, u AS x, {_r('z')} AS z FROM p""")
-_add("dem_regrid_whole", f"""WITH {_PX}, d AS (SELECT y, x, embedding[12]::DOUBLE * 100 AS z FROM px), e AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM d),
     xs AS (SELECT u FROM (SELECT x1, x0 + 0.25::DOUBLE + unnest(range((x1 - x0)::BIGINT + 1)) AS u FROM e) WHERE u <= x1), ys AS (SELECT w FROM (SELECT y1, y0 + 0.5::DOUBLE + 1.5::DOUBLE * unnest(range((y1 - y0)::BIGINT + 1)) AS w FROM e) WHERE w <= y1),
     p AS (SELECT u, w, sum(z * greatest(0, 1 - abs(x - u)) * greatest(0, 1 - abs(y - w))) AS z FROM xs, ys, d WHERE abs(x - u) < 1 AND abs(y - w) < 1 GROUP BY u, w)
     SELECT w AS y, u AS x, {_r('z')} AS z FROM p""")
@@ -120,9 +108,8 @@ _add("geom_points", f"WITH {_GEO} SELECT px + 0.5 AS Pixel, sc + 0.5 AS Scan, {_
 _add("geom_extent", f"WITH {_GEO} SELECT min(px) AS min_pixel, max(px) AS max_pixel, min(sc) AS min_scan, max(sc) AS max_scan FROM g WHERE lon BETWEEN 154.5 AND 178.5 AND lat BETWEEN -19.5 AND 90.5")
 _add("geom_corners", f"WITH {_GEO}, b AS (SELECT * FROM g WHERE lon BETWEEN 155 AND 178 AND lat BETWEEN -19.5 AND 90), e AS (SELECT min(px) AS a, max(px) AS b, min(sc) AS c, max(sc) AS d FROM b) SELECT sc AS row, px AS col, {_r('lon')} AS x, {_r('lat')} AS y FROM b, e WHERE px IN (e.a, e.b) AND sc IN (e.c, e.d)")
 _add("latlon_pivot", f"WITH {_GEO} SELECT sc + 1 AS y, {', '.join(f'''{_r(f'max(lat) FILTER (px = {50 * k})')} AS x_{50 * k}''' for k in range(6))} FROM g GROUP BY sc")
-_add("tps_grid", f"WITH {_PX} SELECT x, y, {_r('embedding[1]::DOUBLE')} AS lon, {_r('embedding[2]::DOUBLE')} AS lat FROM px WHERE y * 25 + x < 60 + 12.5 + 0.5")
 # longitude and latitude of the geometry grid are affine in Pixel and Scan, and a thin-plate spline gives affine values back everywhere
-_add("tps_grid_whole", f"WITH {_PX} SELECT x, y, {_r('150 + x / 50 * 8 + y / 50 * 0.5::DOUBLE')} AS lon, {_r('-20 + y / 50 * 0.9::DOUBLE + x / 50 * 0.1::DOUBLE')} AS lat FROM px")
+_add("tps_grid", f"WITH {_PX} SELECT x, y, {_r('150 + x / 50 * 8 + y / 50 * 0.5::DOUBLE')} AS lon, {_r('-20 + y / 50 * 0.9::DOUBLE + x / 50 * 0.1::DOUBLE')} AS lat FROM px")
 _add("regular_grid", f"""WITH {_PX}, p AS (SELECT x * 1.1::DOUBLE + y * 0.2::DOUBLE AS lon, y * 0.9::DOUBLE - x * 0.1::DOUBLE AS lat, embedding[1]::DOUBLE AS v FROM px),
     e AS (SELECT min(lon) AS lon0, max(lon) AS lon1, min(lat) AS lat0, max(lat) AS lat1 FROM p),
     q AS (SELECT v, least(floor((lon - lon0) / (lon1 - lon0) * 12), 11) AS i, least(floor((lat - lat0) / (lat1 - lat0) * 10), 9) AS j, e.* FROM p, e)
@@ -133,7 +120,7 @@ _add("exp_gain_key", "SELECT p_partkey, lower('E' || (p_size % 4 + 1) || 'G2') A
 _WKT = "CASE n_nationkey % 3 " + " ".join(f"WHEN {k} THEN '{K.PROJECTIONS[n][:40]}'" for k, n in enumerate(("equatorial", "polarstereographicsouthpole", "polarstereographicnorthpole"))) + " END"
 _add("proj_lookup", f"SELECT n_nationkey, CASE n_nationkey % 3 WHEN 0 THEN 'equatorial' WHEN 1 THEN 'polarstereographicsouthpole' ELSE 'polarstereographicnorthpole' END AS key, {_WKT} AS wkt FROM nation")
 _add("solar_distance", "SELECT p_partkey, CASE p_partkey % 8 " + " ".join(f"WHEN {k} THEN {v}::DOUBLE" for k, v in enumerate(K.SOLAR_DISTANCE.values())) + " ELSE 1::DOUBLE END AS au FROM part")
-_add("md5_verify", "SELECT doc_id, md5(text) AS md5, doc_id % 10 <> 0 AS ok FROM documents WHERE text IS NOT NULL")
+_add("md5_verify", "SELECT doc_id, md5(coalesce(text, '')) AS md5, doc_id % 10 <> 0 AS ok FROM documents")
 _add("label_metaget", """SELECT page_id, 'e' || (page_id % 4 + 1) || 'g2' AS exp_gain, CASE WHEN page_id % 2 = 0 THEN 'Equatorial' END AS area, 1624363200 + page_id % 60 * 60 + 56.344::DOUBLE AS start, page_id AS lines,
     (page_id + 0.5::DOUBLE)::VARCHAR || ' nm; ' || (page_id + 17.25::DOUBLE)::VARCHAR || ' nm' AS labels FROM pages""")
 _add("catalog_files", """WITH p AS (SELECT page_id AS k, 'sat_img_nci_' || page_id || '_d_img_d32' AS s FROM pages)
@@ -160,3 +147,12 @@ _add("fourier_destripe_default", f"""WITH {_C}, n AS (SELECT y, x, band, v, y -
     hp AS (SELECT a.band, a.x, sum(b.m * w) AS hp FROM m a JOIN m b ON a.band = b.band JOIN k ON d = (a.x - b.x)::BIGINT GROUP BY a.band, a.x),
     b AS (SELECT band, avg(v * CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END) AS a FROM n GROUP BY band)
     SELECT n.band, y, n.x, {_r('CASE WHEN v = 0 THEN 0 ELSE abs(v - hp - a * CASE WHEN i % 2 = 0 THEN 1 ELSE -1 END) END')} AS value FROM n JOIN hp ON n.band = hp.band AND n.x = hp.x JOIN b ON n.band = b.band""")
+# readers
+ORACLE_SQL["qub_long"], ORACLE_SQL["qub_to_rad"] = ORACLE_SQL["cube_long"], ORACLE_SQL["l0_to_rad"]
+_add("gain_offset_file", f"SELECT 'e3g2' AS exp_gain, (p_partkey // 25 + 1)::INT AS band, (p_partkey % 25 + 0.5)::DOUBLE AS x, {_r('p_retailprice / 1e5::DOUBLE')} AS gain, {_r('p_size / 100::DOUBLE')} AS offset FROM part")
+_add("saturation_file", f"SELECT 'e4g2' AS exp_gain, (p_partkey + 1)::INT AS band, CASE WHEN p_partkey % 7 > 1 THEN {_r('p_retailprice * 0.01::DOUBLE')} END AS range, {_r('p_size * 0.01::DOUBLE')} AS saturation FROM part")
+_add("validity_file", "SELECT 'e2g2' AS exp_gain, (p_partkey + 1)::INT AS band, bool_or(p_size > 45) OVER (ORDER BY p_partkey ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS bad FROM part")
+_add("polish_file", f"SELECT (p_partkey + 8)::INT AS band, {_r('1 + p_size / 1000::DOUBLE')} AS polish FROM part")
+_add("solar_flux_file", f"SELECT (p_partkey + 1)::INT AS band, round(800.1234::DOUBLE + 17.25::DOUBLE * p_partkey, 3) AS wl, {_r('p_retailprice / 10::DOUBLE * 10 / (pi() * 0.9855::DOUBLE * 0.9855::DOUBLE)')} AS flux FROM part")
+_add("geometry_file", f"WITH {_GEO} SELECT px + 0.5::DOUBLE AS \"Pixel\", sc + 0.5::DOUBLE AS \"Scan\", {_r('lon')} AS \"Longitude\", {_r('lat')} AS \"Latitude\" FROM g")
+_add("points_file", f"WITH {_GEO} SELECT sc AS row, px AS col, {_r('lon')} AS x, {_r('lat')} AS y, 'SOME WKT' AS crs FROM geo")

@@ -10,7 +10,7 @@ import pytest
 from pushbroom.plans import queries as Q
 
 DATA = "/root/testdata/sf0.001"
-CHECKED = ["cube_spectral", "preview_stride", "dn_to_radiance", "lut_denoise", "stripe_flags", "sun_incidence", "gaussian_w3", "geom_corners", "label_metaget", "catalog_files", "l0_to_rad", "full_refl"]
+CHECKED = sorted(Q.ORACLE_SQL)
 
 
 def test_names_match_with_no_session():
