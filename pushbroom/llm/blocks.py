@@ -15,6 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Rows with a null ``other`` carry links of node; the others are edges.
+LINKS = "node long, other long, links long"
+
+
 def own_pairs(salt: Column, blocks: Column) -> Column:
     """The units (i, j), i <= j, in which a member of block ``salt`` of ``blocks`` meets its own group: an array of structs."""
     return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda s: F.struct(F.least(salt, s).alias("i"), F.greatest(salt, s).alias("j"), (salt == F.greatest(salt, s)).alias("right")))
@@ -36,13 +40,12 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def grouped(rows: DataFrame, key: str, compare: Callable[[dict[str, list]], tuple[dict[int, int], list[tuple[int, int]]]], partitions: int) -> DataFrame:
-    """Runs ``compare`` on the rows of each ``key`` and returns (node, other, links).
+def grouped(rows: DataFrame, key: str, compare: Callable[[dict[str, list]], list[tuple]], partitions: int, schema: str = LINKS) -> DataFrame:
+    """Runs ``compare`` on the rows of each ``key`` and returns the rows of ``schema`` (columns of type long) that it makes of them.
 
-    ``compare`` gets the columns of one unit of work and returns links by node and edges. Rows with a null ``other`` carry links of
-    node; the others are edges. Only one unit is held at a time.
+    ``compare`` gets the columns of one unit of work. Only one unit is held at a time; a unit of one row is none.
     """
-    names = rows.columns
+    names, out = rows.columns, [f.split()[0] for f in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {c: [] for c in names}
@@ -50,14 +53,12 @@ def grouped(rows: DataFrame, key: str, compare: Callable[[dict[str, list]], tupl
 
         def flush() -> None:
             if len(held[key]) > 1:
-                links, edges = compare(held)
-                done.extend((n, None, c) for n, c in links.items() if c)
-                done.extend((a, b, None) for a, b in edges)
+                done.extend(compare(held))
 
         def pack() -> pa.RecordBatch:
-            cols = list(zip(*done)) if done else [[]] * 3
+            cols = list(zip(*done)) if done else [[]] * len(out)
             done.clear()
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["node", "other", "links"])
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], out)
 
         for b in batches:
             cols = {c: b.column(n) for n, c in enumerate(b.schema.names)}
@@ -78,4 +79,9 @@ def grouped(rows: DataFrame, key: str, compare: Callable[[dict[str, list]], tupl
             flush()
         yield pack()
 
-    return rows.repartition(partitions, key).sortWithinPartitions(key).mapInArrow(run, "node long, other long, links long")
+    return rows.repartition(partitions, key).sortWithinPartitions(key).mapInArrow(run, schema)
+
+
+def link_rows(links: dict[int, int], edges: list[tuple]) -> list[tuple]:
+    """Rows of ``LINKS``: counts of links by node, with a null other, and edges, with null links or what an edge says of itself besides its ends."""
+    return [(n, None, c) for n, c in links.items() if c] + [(*e, None)[:3] for e in edges]

@@ -6,11 +6,11 @@ a-z. Those are the rules of ``bytes.split`` and ``bytes.lower``.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import xxhash
 
+from .store import kept
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """Hashes words, remembering at most ``limit`` of them (natural text repeats a few words very often)."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 150_000):
         self.limit, self.known = limit, {}
 
     def __call__(self, ws: list[bytes]) -> np.ndarray:
@@ -42,10 +42,18 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, ws), dtype=np.uint64, count=len(ws))
 
 
-@functools.cache
 def word_hashes() -> WordHashes:
     """The worker process's own hashes, which its tasks share."""
-    return WordHashes()
+    return kept("words", WordHashes)
+
+
+def rolling(h: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the ``k``-word shingles of a text with word hashes ``h``, in their order."""
+    n = max(0, len(h) - k + 1)
+    acc = np.full(n, np.uint64(k))
+    for j in range(k):
+        acc = mix(acc + _STEP + h[j : j + n])
+    return acc
 
 
 def shingle_hashes(h: np.ndarray, k: int, whole: bool = True) -> np.ndarray:
@@ -58,8 +66,4 @@ def shingle_hashes(h: np.ndarray, k: int, whole: bool = True) -> np.ndarray:
         if not whole or not len(h):
             return np.empty(0, np.uint64)
         k = len(h)
-    n = len(h) - k + 1
-    acc = np.full(n, np.uint64(k))
-    for j in range(k):
-        acc = mix(acc + _STEP + h[j : j + n])
-    return np.unique(acc)
+    return np.unique(rolling(h, k))

@@ -21,13 +21,40 @@ def test_rows_that_share_a_doc_id_are_judged_by_their_texts(spark):
 
 
 def test_pairs_that_meet_through_probes_only_link_once():
+    vectors = [v.tobytes() for v in embeddings.unit(np.array([[1.0, 0.0], [1.0, 0.01]]))]
+
     def links(codes, table, bucket):
-        held = {"embedding": [[1.0, 0.0], [1.0, 0.01]], "rep": [1, 2], "copies": [1, 1], "right": [False, False], "table": [table] * 2, "bucket": [bucket] * 2, "codes": codes}
+        held = {"vector": vectors, "h": [1, 2], "copies": [1, 1], "right": [0, 0], "table": [table] * 2, "bucket": [bucket] * 2, "codes": codes}
         return embeddings._compare(0.98)(held)
 
     probes = [[1, 7, 8, 9, 20, 21, 22, 23], [2, 8, 7, 5, 20, 31, 32, 33]]
-    assert links(probes, 0, 7) == ({1: 1, 2: 1}, [(1, 2)])
-    assert links(probes, 0, 8) == links(probes, 1, 20) == ({}, [(1, 2)])
+    assert links(probes, 0, 7) == [(1, None, 1), (2, None, 1), (1, 2, None)]
+    assert links(probes, 0, 8) == links(probes, 1, 20) == [(1, 2, None)]
+
+
+def test_sketches_bound_cosines():
+    rng = np.random.default_rng(6)
+    for dim in (1, 2, 5, 16, 17, 64, 300):
+        x = embeddings.unit(rng.normal(size=(200, dim)))
+        x[100:] = embeddings.unit(x[:100] + 0.1 * rng.normal(size=(100, dim)))
+        bound, cos = embeddings.bounds(embeddings.sketch(x)), x @ x.T
+        assert (bound >= cos).all()
+        # most pairs that are far from the threshold need no exact comparison
+        if dim >= 5:
+            assert (bound[cos < 0.5] < embeddings.THRESHOLD).mean() > 0.9
+
+
+def test_recall_in_any_dimension():
+    rng = np.random.default_rng(7)
+    for dim in (2, 3, 4, 8, 16, 64, 256, 1024):
+        x = embeddings.unit(rng.normal(size=(300, dim)))
+        r = rng.normal(size=x.shape)
+        r = embeddings.unit(r - (r * x).sum(1, keepdims=True) * x)
+        y = 0.98 * x + np.sqrt(1 - 0.98**2) * r
+        for functions in (1, 2, 3):
+            tables = min(embeddings.tables_for(functions), 8 if dim > 256 else 99)
+            a, b = (embeddings.codes(v, functions, tables) for v in (x, y))
+            assert (a[:, :, :, None] == b[:, :, None, :]).any((1, 2, 3)).mean() >= 0.97, (dim, functions)
 
 
 def test_recall_does_not_fall_with_more_functions():
