@@ -125,6 +125,15 @@ def test_url_rules(spark):
     assert url_rules.index(rules, {"es": 1, "example": 9, "org": 5, "en": 7})["es"] == [1, 4]
 
 
+def test_urls_that_repeat_or_are_very_long_and_no_urls(spark):
+    rules = [url_rules.rule(*r) for r in [("block", "a.org/x"), ("allow", "a.org/x/y")]]
+    long = "http://a.org/x/y/" + "p" * 200_000 + "?q"
+    df = frame(spark, [(1, "http://b.a.org/x1"), (1, "http://b.a.org/x1"), (2, long), (None, "http://a.org/x")], "id int, url string")
+    got = sorted(((r.id, r.rule, r.verdict, len(r.path)) for r in url_rules.judge(df, rules).collect()), key=str)
+    assert got == sorted([(1, "a.org/x", "block", 3)] * 2 + [(2, "a.org/x/y", "allow", 200_005), (None, "a.org/x", "block", 2)], key=str)
+    assert url_rules.judge(df.limit(0), rules).count() == 0
+
+
 # mixing
 
 
@@ -211,6 +220,29 @@ def test_warc(spark, tmp_path):
     assert warc.read_warc(spark, f"{path}1").where("record_type = 'revisit' and payload_bytes < 5").count() == 0
 
 
+def test_long_members_are_read_in_pieces(spark, tmp_path):
+    import io
+
+    rng = np.random.default_rng(3)
+    payloads = [rng.bytes(3_000_000), b"<html>short</html>", rng.bytes(1_500_000)]
+    data = b"".join(warc.member(i, "u", p, warc.base32_sha1(p), None, False) for i, p in enumerate(payloads))
+    held = []
+
+    class Watched(warc._Bytes):
+        def forget(self, before):
+            super().forget(before)
+            held.append(len(self.data))
+
+    kept, warc._Bytes = warc._Bytes, Watched
+    try:
+        for cut in (len(data), 700_000):
+            got = [warc.parse(r)[6] for start in range(0, len(data), cut) for _, r in warc.records_in(io.BytesIO(data), start, min(len(data), start + cut))]
+            assert got == payloads
+    finally:
+        warc._Bytes = kept
+    assert max(held) <= 8 * warc._CHUNK
+
+
 # n-gram Jaccard join
 
 
@@ -275,6 +307,35 @@ def test_line_dedup(spark):
     assert line_runs.dedup_lines(spark, df.limit(0)).count() == 0
 
 
+def test_lines_of_rows_without_ids_and_of_rows_that_repeat(spark):
+    common, other = "A line that many hold, long enough", "Another such line, of null ids alone"
+    rows = [(None, f"{common}\n{other}\nx"), (None, f"{common}\ny"), (5, common), (5, common), (7, f"{common}\n7"), (None, f"{common}\n{other}\nx"), (None, f"{other}\nz"), (8, None)]
+    for batches in (1, 3):
+        got = Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_runs.dedup_lines(spark, frame(spark, rows, "doc_id long, text string"), batches=batches).collect())
+        # null ids are never the largest unless all are null
+        assert got == Counter([(None, 3, 1, f"{other}\nx"), (None, 2, 1, "y"), (5, 1, 1, ""), (5, 1, 1, ""), (7, 2, 0, f"{common}\n7"), (None, 3, 1, f"{other}\nx"), (None, 2, 0, f"{other}\nz"), (8, 1, 0, "")])
+
+
+def test_runs_are_neither_dealt_nor_sorted_again(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        runs = line_runs.LineRuns(Workspace(spark, "t"), fanout=9)
+        for n in range(3):
+            runs.add(frame(spark, [(n, k, k) for k in range(n * 300, n * 300 + 600)], "doc_id long, k1 long, k2 long"))
+        totals = runs.totals()
+        assert totals.count() == 1200 and totals.agg(F.sum("docs")).first()[0] == 1800
+        runs.fanout = 3
+        runs.compact()
+        assert [r.rdd.getNumPartitions() for r in runs.runs()] == [4] and sum(f.endswith(".parquet") for f in runs.runs()[0].inputFiles()) == 4
+        batch = frame(spark, [(9, 1, 1)], "doc_id long, k1 long, k2 long").groupBy("k1", "k2").count()
+        for r in runs.runs():
+            batch = batch.join(r.select("k1", "k2", F.lit(1).alias(f"_{id(r)}")).hint("merge"), ["k1", "k2"], "left")
+        plan = batch._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("Exchange") == 1 and plan.count(" Sort [") == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_runs_are_disjoint_and_levelled(spark):
     runs, seen = line_runs.LineRuns(Workspace(spark, "t"), fanout=2), set()
     for n in range(5):
@@ -306,10 +367,21 @@ def test_contamination(spark):
     for block in (20_000, 3):
         got = Counter((r.doc_id, r.item_id, r.containment) for r in decontaminate.contaminated(spark, d, b, block=block).collect())
         assert got == want and len(want) > 5
-    assert decontaminate.contaminated(spark, d, b.limit(0)).count() == 0
+    assert decontaminate.contaminated(spark, d, b.limit(0)).count() == decontaminate.contaminated(spark, d.limit(0), b).count() == 0
+    assert decontaminate.clean(spark, d.limit(0), b).count() == 0
     assert {r.doc_id for r in decontaminate.clean(spark, d.where("doc_id IS NOT NULL"), b).collect()} == {i for i, _ in docs if i is not None} - {k[0] for k in want}
 
 
+def test_items_in_very_long_texts_and_ties(spark):
+    rng = random.Random(4)
+    noise = [f"n{rng.randrange(10**6)}" for _ in range(60_000)]
+    item = "the quick brown fox jumps over the lazy dog again"
+    long = " ".join([*noise[:50_000], item, *noise[50_000:], *[item] * 50])
+    d = frame(spark, [(1, long), (2, " ".join(noise)), (3, None)], "doc_id long, text string")
+    b = frame(spark, [(7, item), (8, item), (9, item.upper()), (10, "")], "item_id long, text string")
+    assert sorted(map(tuple, decontaminate.contaminated(spark, d, b).collect())) == [(1, i, 6, 1.0) for i in (7, 8, 9)]
+
+
 # models
 
 
@@ -357,6 +429,92 @@ def test_forward_backward_is_enumeration():
         assert np.allclose(post[:n, r], want / total) and not post[n:, r].any()
 
 
+def sequence_scores(e, start, trans):
+    """The weight of every labelling of one sequence, by brute force."""
+    n, k = e.shape
+    for path in np.ndindex(*(k,) * n):
+        yield path, np.exp(start[path[0]] + sum(e[t, y] for t, y in enumerate(path)) + sum(trans[a, b] for a, b in zip(path, path[1:])))
+
+
+def test_expected_pairs_are_enumeration():
+    rng = np.random.default_rng(2)
+    e, start, trans = rng.normal(size=(4, 3, 2)), rng.normal(size=2), rng.normal(size=(2, 2))
+    live = np.array([[True] * 3, [True] * 3, [True, True, False], [True, False, False]])
+    post = language.forward_backward(e, live, start, trans)
+    want = np.zeros((2, 2))
+    for r, n in ((0, 4), (1, 3), (2, 2)):
+        paths = list(sequence_scores(e[:n, r], start, trans))
+        for path, p in paths:
+            for a, b in zip(path, path[1:]):
+                want[a, b] += p / sum(q for _, q in paths)
+    assert np.allclose(language.pair_counts(e, post, live, start, trans), want)
+
+
+def features_by_hand(find, word):
+    """Feature numbers of a word, letter by letter."""
+    c = [0, *map(ord, word), 0]
+    h = lambda tag, x: int(language._hash(tag, [np.array([v], np.uint32) for v in x])[0]) % language.TABLE + 1
+    out = [h(1, c[i : i + 2]) for i in range(len(c) - 1)] + [h(2, c[i : i + 3]) for i in range(len(c) - 2)]
+    for k in (1, 2, 3):
+        if len(word) >= k:
+            out += [h(2 + k, [c[min(j + 1, len(c) - 1)] for j in range(k)]), h(5 + k, [c[len(word) - j] for j in range(k)])]
+    return sorted([*out, find.lexicon.get(word, 0)])
+
+
+def test_features_and_document_sums_by_hand():
+    rng = random.Random(3)
+    segments = [(g, " ".join("".join(rng.choice(a) for _ in range(rng.randrange(1, 6))) for _ in range(20))) for g, a in (("xx", "abcé"), ("yy", "cdef")) for _ in range(20)]
+    model = language.train(segments)
+    find, labeller = language.Features(model.lexicon), language.Labeller(model)
+    words = ["a", "cd", "abc", "é", "x" * 40, *model.lexicon[:3]]
+    for at, f in find(words):
+        for row, n in zip(f, at):
+            assert sorted(v for v in row.tolist() if v) == [v for v in features_by_hand(find, words[n]) if v]
+    texts = ["abc, cd! 12 fe", None, "...", "Dd", "dd cé aaa fed c"]
+    sums = labeller(texts)
+    for t, got in zip(texts, sums):
+        ws = [w for w in map(language.letters, (t or "").lower().split()) if w]
+        want = np.zeros(2)
+        if ws:
+            e = np.array([model.weights[features_by_hand(find, w)].sum(0) for w in ws])
+            paths = list(sequence_scores(e, model.start, model.trans))
+            for path, p in paths:
+                for y in path:
+                    want[y] += p / sum(q for _, q in paths)
+        assert np.allclose(got, want, atol=1e-5)
+
+
+def test_words_of_switching_texts(spark):
+    rng = random.Random(1)
+    stems = {"xx": "ka lo mi tu sa".split(), "yy": "ber sch ung eit zen".split()}
+    word = lambda g: "".join(rng.choice(stems[g]) for _ in range(rng.randrange(2, 4)))
+    model = language.train([(g, " ".join(word(g) for _ in range(30))) for _ in range(80) for g in stems])
+    truth = [["xx"] * 6 + ["yy"] * 5, ["yy"] * 4 + ["xx"] * 7 + ["yy"] * 6, ["xx"]]
+    rows = [(i, "12 " + " ".join(f'"{word(g).title()}",' for g in gs)) for i, gs in enumerate(truth)] + [(8, None), (9, "1 !"), (None, word("yy"))]
+    docs = frame(spark, rows, "doc_id long, text string").withColumn("lang", F.lit("clash"))
+    got = language.label_words(spark, docs, model).collect()
+    assert len(got) == sum(map(len, truth)) + 1
+    right = 0
+    for r in got:
+        if r.doc_id is None:
+            assert (r.n, r.lang) == (0, "yy")
+            continue
+        token = rows[r.doc_id][1].split()[r.n]
+        assert r.word == token.strip('",').lower() and 0.5 <= r.posterior <= 1
+        right += r.lang == truth[r.doc_id][r.n - 1]
+    assert right >= 0.95 * (len(got) - 1)
+    assert language.label_words(spark, docs.limit(0), model).count() == language.label_words(spark, docs, language.train([])).count() == 0
+
+
+def test_ties_repeats_and_empty_tables_of_languages(spark):
+    docs = frame(spark, [(i, "same words here", g) for i, g in enumerate(["bb", "aa"] * 30)] + [(1, "same words here", "aa")], "doc_id long, text string, lang string")
+    got = language.identify(spark, docs).collect()
+    assert len(got) == 61 and len({(r.lang_pred, r.score) for r in got}) == 1
+    assert language.identify(spark, docs.limit(0)).count() == 0
+    model = language.Model(["aa", "bb"], [], np.zeros((1 + language.TABLE, 2), np.float32), np.zeros(2), np.zeros((2, 2)))
+    assert [tuple(r) for r in language.label(spark, docs.limit(1).select("text"), model).select("lang_pred", "score").collect()] == [("aa", 0.5)]
+
+
 # the pipeline
 
 
