@@ -182,3 +182,18 @@ def warped(spark: SparkSession, image: str, points: str, out: str = "", shape: t
     if out:
         qub.write_output(C.to_long(got), out)
     return got
+
+
+def gridded(spark: SparkSession, image: str, geometry_grid: str, out: str = "", extent: Extent = NONE, shape: tuple[int, int] | None = None, method: str = "bilinear") -> DataFrame:
+    """(product_id, lon, lat, spectrum) of the part of an image inside ``extent`` (longitudes, latitudes), on a regular grid of both; ``shape`` is columns and rows, by default the part's own."""
+    points = geometry.in_box(tables.read_geometry(spark, geometry_grid), extent)
+    e = tuple(geometry.pixel_extent(points).first())
+    if e[0] is None:
+        raise ValueError("no geometry points within extent")
+    pixels = read_pixels(spark, image, None, (e[0] - 0.5, e[1] + 0.5), (e[2] - 0.5, e[3] + 0.5))
+    n_x, n_y = shape or tuple(pixels.agg(F.countDistinct("x"), F.countDistinct("y")).first())
+    name = pixels.select("product_id").first()[0]
+    got = geometry.warp(pixels, geometry.control_points(points), n_x, n_y, method)
+    if out:
+        qub.write_output(C.to_long(got.select(F.lit(name).alias("product_id"), "y", "x", "spectrum")), out)
+    return got.select(F.lit(name).alias("product_id"), F.col("x").alias("lon"), F.col("y").alias("lat"), "spectrum")

@@ -134,6 +134,16 @@ def test_warping_follows_the_control_points(spark, product, tmp_path, method):
         images.warped(spark, image, str(tmp_path / "w.points"), method="cubic")
 
 
+def test_a_swath_on_a_regular_grid(spark, product, tmp_path):
+    _, image, _, grid, data, _ = product
+    got = images.gridded(spark, image, grid, str(tmp_path / "g.img"), shape=(5, 7), method="nearest").collect()
+    assert len(got) == 35 and all(r.product_id == ID for r in got)
+    for r in got:
+        col, row = (r.lon - 10) / 0.1, (r.lat - 20) / 0.2
+        assert r.spectrum == pytest.approx(list(data[:, int(row), int(col)]), rel=1e-6)
+    assert (tmp_path / "g.hdr").exists()
+
+
 def test_large_grids_are_splined_by_tiles(spark, monkeypatch):
     f = lambda u, v: (np.sin(u / 30) + v / 50, np.cos(v / 40) * u / 60)
     centres = spark.createDataFrame([(float(u), float(v), *map(float, f(u, v))) for u in range(0, 100, 4) for v in range(0, 100, 4)], "u double, v double, a double, b double")
