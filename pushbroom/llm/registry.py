@@ -60,7 +60,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partenum.jaccard_classes(spark, table(spark, sf_dir, "documents"), k=4, percent=85).select("doc_id", "n_shingles", "component_id")
+    return partenum.jaccard_classes(spark, table(spark, sf_dir, "documents"), k=4, percent=85, links=False).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
