@@ -60,15 +60,17 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     return s.select("source", "source_size", "docs", target.alias("target"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies, and source where ``keep`` names it) for each row of ``docs`` (doc_id, text, source); other columns are ignored.
+def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0, keep: tuple[str, ...] = (), row: str | None = None) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, and source or row where ``keep`` names them) for each row of ``docs`` (doc_id, text, source); other columns are ignored.
 
     Null and empty texts have size 0 and are never taken; a source of such documents has target 0. The null source is a source.
     Rows that repeat a doc_id draw the same number and are ordered by size; equal rows may trade places. A null
     doc_id draws as the string null does. An empty table gives an empty result. Reruns agree: every draw is a hash.
+    Texts of any length are counted whole. ``row`` may name a column that numbers the rows of ``docs``; else they are numbered as they are read.
     """
     ws = Workspace(spark, "mix")
-    d = ws.table(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform(F.col("doc_id"), seed).alias("u"), F.monotonically_increasing_id().alias("row")), "sizes")
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    d = ws.table(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), uniform(F.col("doc_id"), seed).alias("u"), number.alias("row")), "sizes")
     s = source_targets(d, weights, share, cap)
     whole = F.least(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(cap)).cast("long")
     s = s.withColumn("whole", F.coalesce(whole, F.lit(0).cast("long")))
@@ -113,11 +115,9 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
 def mixed(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 0) -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as ``mix`` takes it.
 
-    Rows that agree in doc_id, source and size are taken equally often.
+    Rows are written once with numbers of their own, so rows that repeat, or have no doc_id, are taken row by row and the mix is exact.
     """
-    key = ["doc_id", "source", "size"]
-    taken = mix(spark, docs, weights, share, cap, seed, keep=("source",)).where("copies > 0").groupBy(*key).agg(F.max("copies").alias("copies"))
-    taken = taken.select(*(F.col(c).alias(f"_{c}") for c in (*key, "copies")))
-    rows = docs.withColumn("_words", n_words(F.col("text")))
-    same = rows["doc_id"].eqNullSafe(taken["_doc_id"]) & rows["source"].eqNullSafe(taken["_source"]) & (F.col("_words") == F.col("_size"))
-    return rows.join(taken, same).select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).drop("col")
+    rows = Workspace(spark, "mix").table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    taken = mix(spark, rows, weights, share, cap, seed, keep=("row",), row="_row").where("copies > 0")
+    taken = taken.select(F.col("row").alias("_r"), F.col("copies").alias("_copies"))
+    return rows.join(taken, F.col("_row") == F.col("_r")).select(*(F.col(c) for c in docs.columns), F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("_copy")).drop("_copy")

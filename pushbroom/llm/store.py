@@ -21,8 +21,10 @@ _OPEN: list[Workspace] = []
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a local one only where that is unset and all tasks run on this machine."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return (root or f"file://{tempfile.gettempdir()}/checkpoints").rstrip("/")
 
 

@@ -70,7 +70,8 @@ def judge(urls: DataFrame, rules: list[Rule], column: str = "url", default: str
     Where no rule fits, the verdict is ``default`` and rule is null. Of equally long
     rules that fit, the first listed decides. Columns of those names are replaced; all others stay. Null URLs
     have an empty host and path, which no rule with a path fits. Rules come from the caller's list; more than
-    ``block`` of them are matched in several passes over the same rows, each holding one block in memory.
+    ``block`` of them are matched in several passes over the same rows, each holding one block in memory. URLs of any length are judged whole, rows that repeat
+    are judged alike, and an empty table gives an empty result.
     """
     bound_arrow(urls.sparkSession)
     wanted = sorted({t for r in rules for t in r.tokens()})

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pushbroom.llm import components as components_module
 from pushbroom.llm import decontaminate, embeddings, language, line_runs, mixing, partenum, quality, tokens, url_rules, warc
 from pushbroom.llm.components import connected_components
 from pushbroom.llm.registry import vocabulary
@@ -55,7 +56,9 @@ def components(n, links):
     return [root(i) for i in range(n)]
 
 
-def test_components(spark):
+@pytest.mark.parametrize("many", [200_000, 3])
+def test_components(spark, monkeypatch, many):
+    monkeypatch.setattr(components_module, "MANY_EDGES", many)
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(7, 7), (None, 3)]
     got = {r.node: r.component for r in connected_components(Workspace(spark, "t"), frame(spark, edges, "a long, b long")).collect()}
@@ -506,6 +509,20 @@ def test_words_of_switching_texts(spark):
     assert language.label_words(spark, docs.limit(0), model).count() == language.label_words(spark, docs, language.train([])).count() == 0
 
 
+def test_no_task_sorts_a_language(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "train", lambda got: seen.append(sorted(got)) or language.Model([], [], np.zeros((1, 0), np.float32), np.zeros(0), np.zeros((0, 0))))
+    plans = []
+    broadcast = language.F.broadcast
+    monkeypatch.setattr(language.F, "broadcast", lambda df: plans.append(df) or broadcast(df))
+    docs = frame(spark, [(i, f"text number {i}", "xy"[i % 2]) for i in range(400)], "doc_id long, text string, lang string")
+    language.fit(spark, docs, segments=30)
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and Counter(g for g, _ in seen[0]) == {"x": 30, "y": 30}
+    first = {g: sorted((r.h, r.doc_id) for r in docs.where(f"lang = '{g}'").where("pmod(crc32(cast(cast(doc_id as string) as binary)), 4) <> 2").select("doc_id", F.xxhash64("doc_id").alias("h")).collect())[:30] for g in "xy"}
+    assert seen[0] == sorted((g, f"text number {i}") for g in "xy" for _, i in first[g])
+
+
 def test_ties_repeats_and_empty_tables_of_languages(spark):
     docs = frame(spark, [(i, "same words here", g) for i, g in enumerate(["bb", "aa"] * 30)] + [(1, "same words here", "aa")], "doc_id long, text string, lang string")
     got = language.identify(spark, docs).collect()
@@ -534,3 +551,108 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
     out = C.run(spark, str(tmp_path))
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
+
+
+def mixed_by_sql(rows):
+    """Copies of each document by the query's SQL, for rows (doc_id, text, source) with ids of their own."""
+    import duckdb
+    import pandas as pd
+
+    from pushbroom.llm.registry import ORACLE_SQL
+
+    db, documents = duckdb.connect(), pd.DataFrame(rows, columns=["doc_id", "text", "source"])
+    db.register("documents", documents)
+    return {r[0]: r[4] // r[1] if r[1] else 0 for r in db.sql(ORACLE_SQL["op3_source_mix"]).fetchall()}
+
+
+def test_quality_stage_by_hand(spark, tmp_path):
+    import corpus_pipeline as C
+
+    rng = random.Random(8)
+    good = lambda: " ".join(rng.choice("the river runs slowly past old stone houses and quiet gardens".split()) for _ in range(90))
+    bad = lambda: " ".join(rng.choice("BUY NOW $$$ click !!! free ###".split()) + "%%" for _ in range(90))
+    rows = [(i, good() if i % 4 else bad(), None, "a", 1) for i in range(300)] + [(300, None, None, "a", 0), (301, "", None, None, 0), (None, good(), None, "b", 1), (5, good(), None, "b", 1), (5, bad(), None, "b", 1)]
+    docs = frame(spark, rows, DOC).withColumn("score", F.lit("clash"))
+    frame(spark, [(i, int(i % 4 > 0), 0) for i in range(300)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = Counter((r.doc_id, r.text) for r in C.keep_quality(spark, docs, str(tmp_path)).collect())
+    model = quality.fit(spark, docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    sizes = quality.Sizes(model.good, model.bad)
+    want = Counter()
+    for i, t, *_ in rows:
+        # the difference and its calibration, written out
+        parts = [(t or "").encode()[k : k + quality.CHUNK] for k in range(0, len((t or "").encode()), quality.CHUNK)]
+        n = sum(map(len, parts))
+        d = sum(len(sizes.bad.compress(c)) - len(sizes.good.compress(c)) for c in parts) / n if n else 0.0
+        f = [min(max(d, -1), 1), *(max(d - b, 0) for b in model.calibration.bends)]
+        z = model.calibration.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.calibration.weights[1:], f, model.calibration.mean, model.calibration.scale))
+        if 1 / (1 + np.exp(-z)) >= quality.THRESHOLD:
+            want[i, t] += 1
+    assert got == want and len(want) > 200 and sum(want.values()) < len(rows)
+
+
+def test_calibration_finds_the_likeliest_weights():
+    rng = np.random.default_rng(0)
+    d = rng.normal(size=400)
+    y = (rng.uniform(size=400) < 1 / (1 + np.exp(-3 * d))).astype(float)
+    model = quality.calibrate(d, y, ridge=1e-3)
+    f = (quality.features(d, model.bends) - model.mean) / model.scale
+
+    def loss(w):
+        z = w[0] + f @ w[1:]
+        return np.sum(np.log1p(np.exp(-np.where(y == 1, z, -z)))) + 0.5e-3 * len(d) * np.sum(w[1:] ** 2)
+
+    best = loss(model.weights)
+    for k in range(len(model.weights)):
+        for step in (-1e-3, 1e-3):
+            w = model.weights.copy()
+            w[k] += step
+            assert loss(w) >= best - 1e-9
+    assert np.corrcoef(model(np.sort(d)), np.arange(400))[0, 1] > 0.9
+
+
+def test_mix_stage_is_the_sql_of_the_mix(spark):
+    import corpus_pipeline as C
+
+    rows = [(i, t, ["a", "b", None, "é"][i % 4]) for i, t in enumerate(texts(120, 11))]
+    docs = frame(spark, rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash")).withColumn("col", F.lit(1))
+    out = C.mix_sources(spark, docs, "")
+    assert out.columns == docs.columns
+    got = Counter(r.doc_id for r in out.collect())
+    assert got == Counter({i: n for i, n in mixed_by_sql(rows).items() if n}) and max(got.values()) <= 2
+
+
+def test_mix_stage_takes_rows_that_repeat_one_by_one(spark):
+    import corpus_pipeline as C
+
+    rows = [(i % 7 if i % 3 else None, f"word{i} " * 5, "ab"[i % 2]) for i in range(200)]
+    docs = frame(spark, rows, "doc_id long, text string, source string")
+    got = Counter((r.doc_id, r.text) for r in C.mix_sources(spark, docs, "").collect())
+    by = Counter()
+    for (_, t), n in got.items():
+        assert n <= 2
+        by["ab"[int(t.split()[0][4:]) % 2]] += 5 * n
+    # targets are 3 and 1 shares of 150 % of 1,000 words, none above twice a source's 500
+    assert abs(by["a"] - 1000) <= 5 and abs(by["b"] - 500) <= 5
+    assert C.mix_sources(spark, docs.limit(0), "").count() == 0
+
+
+def test_token_stage_by_the_plain_tokenizer(spark):
+    import corpus_pipeline as C
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(vocabulary())
+    docs = documents(spark, [(3, "again", None, "a", 1), (3, "again", None, "b", 1), (None, "no id", None, "a", 1)])
+    got = sorted(C.to_tokens(spark, docs, "").collect(), key=lambda r: r.start)
+    want = Counter((r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for r in docs.collect() for ids in [t.encode(r.text or "", add_special_tokens=False).ids + [2]])
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    assert [r.start for r in got] == list(np.cumsum([0] + [r.n_tokens for r in got])[:-1]) and got[0].doc_id is None
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as C
+
+    docs = documents(spark).limit(0)
+    frame(spark, [(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    frame(spark, [(0, "some test item of many words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in C.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
