@@ -2,9 +2,10 @@
 
 Two zstandard dictionaries are built, one from chunks of texts labelled good and one from bad ones.
 A text is cut into chunks of ``CHUNK`` bytes, each compressed with either dictionary, so every part of a long text
-meets the dictionaries as its start does. The difference of the compressed sizes over the larger of
-the two, with the compressed size over the plain one, is calibrated to a probability by a logistic
-regression on labelled texts that the dictionaries have not seen.
+meets the dictionaries as its start does. The difference of the compressed sizes over the plain size is
+all that a score knows of a text: it is the bytes that the good dictionary saves beyond the bad one, and near nothing where
+a text repeats itself, as both then save the same. A logistic regression with bends at the difference's own quantiles calibrates it to a probability, on
+labelled texts that the dictionaries have not seen.
 
 Only the fit uses a bounded sample of labelled rows: ``Sample`` documents its bounds. Scores cover whole texts of all rows.
 """
@@ -21,9 +22,11 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import bound_arrow
+from .store import bound_arrow, kept
 
-CHUNK, DICTIONARY, LEVEL, THRESHOLD = 1024, 48 << 10, 3, 0.3
+CHUNK, DICTIONARY, LEVEL, THRESHOLD = 1024, 112 << 10, 3, 0.3
+#: Quantiles of the difference at which the calibration bends.
+BENDS = (0.05, 0.1, 0.2, 0.35, 0.6, 0.9)
 
 
 class Sample(NamedTuple):
@@ -63,44 +66,45 @@ class Sizes:
         out.precompute_compress(level=LEVEL)
         return out
 
-    def __call__(self, text: str | None) -> tuple[float, float]:
-        """(difference, ratio): (bad - good) over the larger, and good over the plain size; zeros for an empty text."""
+    def __call__(self, text: str | None) -> float:
+        """Compressed bytes under the bad dictionary less those under the good one, for each plain byte; 0 for an empty text."""
         g = b = n = 0
         for c in chunks(text):
             g += len(self.good.compress(c))
             b += len(self.bad.compress(c))
             n += len(c)
-        return ((b - g) / max(b, g), g / n) if n else (0.0, 0.0)
+        return (b - g) / n if n else 0.0
 
 
-def features(x: np.ndarray) -> np.ndarray:
-    """What the calibration sees: the difference, saturating, and the ratio with bends where repetition and noise begin."""
-    d, r = x[:, 0], x[:, 1]
-    return np.column_stack([np.tanh(5 * d), np.minimum(r, 0.3), r, np.maximum(r - 0.6, 0)])
+def features(d: np.ndarray, bends: np.ndarray) -> np.ndarray:
+    """The difference, and how far it lies beyond each bend."""
+    return np.column_stack([np.clip(d, -1, 1), *(np.maximum(d - c, 0) for c in bends)])
 
 
 class Logistic(NamedTuple):
+    bends: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
 
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        z = np.column_stack([np.ones(len(x)), (features(x) - self.mean) / self.scale]) @ self.weights
+    def __call__(self, d: np.ndarray) -> np.ndarray:
+        z = np.column_stack([np.ones(len(d)), (features(d, self.bends) - self.mean) / self.scale]) @ self.weights
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> Logistic:
-    """Newton's method; without rows of both classes the score is the share of good rows, or a half."""
-    f = features(x) if len(x) else np.zeros((0, 4))
+def calibrate(d: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> Logistic:
+    """Newton's method; without rows of both classes the score is near their class, or a half."""
+    bends = np.unique(np.quantile(d, BENDS)) if len(set(y)) > 1 else np.empty(0)
     if len(set(y)) < 2:
-        return Logistic(np.zeros(4), np.ones(4), np.array([{0: -4.0, 1: 4.0}.get(int(y[0]), 0.0) if len(y) else 0.0, 0, 0, 0, 0]))
+        return Logistic(bends, np.zeros(1), np.ones(1), np.array([{0: -4.0, 1: 4.0}.get(int(y[0]), 0.0) if len(y) else 0.0, 0]))
+    f = features(d, bends)
     mean, scale = f.mean(0), f.std(0) + 1e-9
-    z, w = np.column_stack([np.ones(len(f)), (f - mean) / scale]), np.zeros(5)
-    pull = ridge * len(f) * np.array([0, 1, 1, 1, 1])
+    z, w = np.column_stack([np.ones(len(f)), (f - mean) / scale]), np.zeros(1 + f.shape[1])
+    pull = ridge * len(f) * np.array([0.0] + [1.0] * f.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
         w -= np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(pull + 1e-9), z.T @ (p - y) + pull * w)
-    return Logistic(mean, scale, w)
+    return Logistic(bends, mean, scale, w)
 
 
 class Model(NamedTuple):
@@ -138,18 +142,17 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, folds: int = 5,
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(chosen[1], chosen[0])
         for b in batches:
-            x = [sizes(t.as_py()) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([v[0] for v in x], pa.float64()), pa.array([v[1] for v in x], pa.float64())], ["quality", "d", "r"])
+            yield pa.RecordBatch.from_arrays([b.column(1), pa.array([sizes(t.as_py()) for t in b.column(0)], pa.float64())], ["quality", "d"])
 
-    got = rows.where("half = 1").select("text", F.col("quality").cast("int")).mapInArrow(measure, "quality int, d double, r double").orderBy("d", "r", "quality").collect()
-    x = np.array([(r.d, r.r) for r in got]).reshape(-1, 2)
-    return Model(chosen[1], chosen[0], calibrate(x, np.array([r.quality for r in got], dtype=float)))
+    got = rows.where("half = 1").select("text", F.col("quality").cast("int")).mapInArrow(measure, "quality int, d double").orderBy("d", "quality").collect()
+    return Model(chosen[1], chosen[0], calibrate(np.array([r.d for r in got], dtype=float), np.array([r.quality for r in got], dtype=float)))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model, column: str = "text", output: str = "score") -> DataFrame:
     """``docs`` with a double in [0, 1] in ``output`` (replacing a column of that name): higher where label 1 is likelier.
 
-    Null and empty texts compress to nothing either way and get the calibrated score of that.
+    Null and empty texts differ by nothing either way and get the calibrated score of that. Texts are compressed whole, a chunk at a time; rows that repeat
+    score alike, and an empty table gives an empty result.
     """
     bound_arrow(spark)
 
@@ -159,9 +162,9 @@ def score(spark: SparkSession, docs: DataFrame, model: Model, column: str = "tex
 def _scorer(model: Model):
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        sizes = Sizes(model.good, model.bad)
+        sizes = kept(("sizes", model.good, model.bad), lambda: Sizes(model.good, model.bad))
         for t in texts:
-            yield pd.Series(model.calibration(np.array([sizes(x) for x in t]).reshape(-1, 2)), dtype="float64")
+            yield pd.Series(model.calibration(np.array([sizes(x) for x in t], dtype=float)), dtype="float64")
 
     return scored
 
