@@ -18,14 +18,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .quality import fold
-from .store import bound_arrow
+from .store import bound_arrow, kept
 
 #: Training segments of each language used at most, and the words in a segment.
 SEGMENTS, SEGMENT_WORDS = 1500, 30
+#: Documents beyond one and a half times those drawn of a language among which they are drawn.
+SPARE = 200
 #: Rows of the hashed weight table, entries of the lexicon at most, and how often a lexicon word occurs at least.
 TABLE, LEXICON, RECURS = 1 << 15, 20_000, 3
 UNKNOWN = "und"
@@ -225,12 +228,11 @@ class Labeller:
         out = np.fromiter(map(self.known.__getitem__, tokens), dtype=np.int64, count=len(tokens))
         return out[out >= 0]
 
-    def __call__(self, texts: list[str | None]) -> np.ndarray:
-        """(text, language) sums of posteriors, zeros for texts without letters."""
+    def posteriors(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int], np.ndarray]]:
+        """(places of texts, their words, posteriors by word, text and language) for groups of texts of similar length; texts without letters are in none."""
         if len(self.known) > self.limit:
             self.known, self.used = {}, 0
         seqs = [self.numbers(t) for t in texts]
-        out = np.zeros((len(texts), len(self.model.langs)))
         order = sorted((n for n, s in enumerate(seqs) if len(s)), key=lambda n: len(seqs[n]))
         k = 0
         while k < len(order):
@@ -240,25 +242,24 @@ class Labeller:
                 last += 1
             rows = order[k:last]
             steps = len(seqs[rows[-1]])
-            e, live = np.zeros((steps, len(rows), out.shape[1])), np.zeros((steps, len(rows)), bool)
+            e, live = np.zeros((steps, len(rows), len(self.model.langs))), np.zeros((steps, len(rows)), bool)
             for r, n in enumerate(rows):
                 e[: len(seqs[n]), r], live[: len(seqs[n]), r] = self.scores[seqs[n]], True
-            post = forward_backward(e, live, self.model.start, self.model.trans)
-            out[rows] = post.sum(0)
+            yield rows, [len(seqs[n]) for n in rows], forward_backward(e, live, self.model.start, self.model.trans)
             k = last
-        return out
 
-
-_KEPT: dict[bytes, Labeller] = {}
+    def __call__(self, texts: list[str | None]) -> np.ndarray:
+        """(text, language) sums of posteriors, zeros for texts without letters."""
+        out = np.zeros((len(texts), len(self.model.langs)))
+        for rows, _, post in self.posteriors(texts):
+            out[rows] = post.sum(0)
+        return out
 
 
 def _labeller(model: Model) -> Labeller:
-    """The worker process's labeller of a model; its tasks share what it remembers, and another model's is forgotten."""
+    """The worker process's labeller of a model; its tasks share what it remembers."""
     key = hashlib.sha1(model.weights.tobytes() + model.trans.tobytes() + "\n".join(model.lexicon).encode()).digest()
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Labeller(model)
-    return _KEPT[key]
+    return kept(("labeller", key), lambda: Labeller(model))
 
 
 def fit(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2, segments: int = SEGMENTS) -> Model:
@@ -268,18 +269,20 @@ def fit(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2,
     """
     bound_arrow(spark)
     rows = docs.where((fold(F.col("doc_id"), folds) != held_out) & F.col("lang").isNotNull() & (F.length("text") > 0))
-    langs = sorted(r.lang for r in rows.select("lang").distinct().collect())
-    # ids are drawn first, so only the drawn documents' segments reach the driver
-    drawn = None
-    for g in langs:
-        some = rows.where(F.col("lang") == g).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(segments)
-        drawn = some if drawn is None else drawn.unionByName(some)
-    if drawn is None:
+    # ids are drawn first, so only the drawn documents' segments reach the driver. Of each language those below a share of all hashes
+    # come to be sorted, a few more than are drawn however many there are
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not many:
         return train([])
+    share = {g: min(1.0, (1.5 * segments + SPARE) / n) for g, n in many.items()}
+    below = F.create_map(*(F.lit(v) for g, x in share.items() for v in (g, int(x * 2**64) - 2**63 if x < 1 else 2**63 - 1)))
+    some = rows.select("doc_id", "lang").where(F.xxhash64("doc_id") <= F.element_at(below, F.col("lang")))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    drawn = some.withColumn("_nth", nth).where(F.col("_nth") <= segments).select("doc_id").distinct()
     # a document offers one segment, at a place drawn by its hash, so copies and long texts do not crowd out others
     words = F.split(F.trim("text"), r"\s+")
     at = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.size(words) - SEGMENT_WORDS + 1, F.lit(1))).cast("int")
-    known = rows.select("doc_id", "lang", "text").join(F.broadcast(drawn.distinct()), "doc_id")  # at most ``segments`` ids a language
+    known = rows.select("doc_id", "lang", "text").join(F.broadcast(drawn), "doc_id")  # at most ``segments`` ids a language
     got = known.select("lang", F.array_join(F.slice(words, at + 1, SEGMENT_WORDS), " ").alias("t"))
     got = [(r.lang, r.t) for r in got.collect()]
     return train(got)
@@ -288,7 +291,8 @@ def fit(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2,
 def label(spark: SparkSession, docs: DataFrame, model: Model, column: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (replacing columns of those names).
 
-    Texts that are null or have no letters get ``und`` and score 0, as do all texts if nothing could be learned.
+    Texts that are null or have no letters get ``und`` and score 0, as do all texts if nothing could be learned. Of languages with equal sums the first by
+    name is taken; rows that repeat are judged alike, an empty table gives an empty result, and texts of any length are labelled whole.
     """
     bound_arrow(spark)
     found = _predictor(model)(F.col(column).cast("string"))
@@ -309,6 +313,29 @@ def _predictor(model: Model):
     return predict
 
 
+def label_words(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, n, word, lang, posterior) for each word with letters of ``docs`` (doc_id, text): its language in its text, and how sure that is.
+
+    n is the word's place among the white-space separated words of its text, from 0; word is without what is no letter at its ends, lower-cased. Of languages that are
+    equally likely the first by name is taken. Null and empty texts have no rows, rows that repeat give rows that repeat.
+    """
+    bound_arrow(spark)
+    fields = {"doc_id": pa.int64(), "n": pa.int64(), "word": pa.string(), "lang": pa.string(), "posterior": pa.float64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = _labeller(model)
+        for b in batches:
+            ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            for rows, sizes, post in labeller.posteriors(texts) if model.langs else ():
+                for r, (i, size) in enumerate(zip(rows, sizes)):
+                    words = [(n, w) for n, t in enumerate(texts[i].lower().split()) if (w := letters(t))]
+                    best = post[:size, r].argmax(1)
+                    cols = [[ids[i]] * size, [n for n, _ in words], [w for _, w in words], [model.langs[k] for k in best], post[np.arange(size), r, best]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, fields.values())], list(fields))
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n long, word string, lang string, posterior double")
+
+
 def identify(spark: SparkSession, docs: DataFrame, folds: int = 4, held_out: int = 2) -> DataFrame:
     """``docs`` (doc_id, text, lang) with held_out, lang_pred and score, learned outside the held-out fold; lang is not read when predicting."""
     out = F.coalesce(fold(F.col("doc_id"), folds) == held_out, F.lit(False))
