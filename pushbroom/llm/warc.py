@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .store import bound_arrow, partitions
+from .store import Workspace, bound_arrow, broadcast_within, partitions
 
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 8 << 20
+#: Digests that repeat up to which they are broadcast (about 80 bytes each).
+MANY_DIGESTS = 200_000
 _CHUNK = 1 << 18
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _FIELDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -78,7 +80,9 @@ def plan_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     full = full.withColumn("digest", F.sha1("payload")).withColumn("size", F.octet_length("payload"))
     # ids and digests only; map-side counts keep a digest of a third of all rows from one task
     first = full.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1 AND first IS NOT NULL").drop("n")
+    first = Workspace(pages.sparkSession, "warc").table(first.where("n > 1 AND first IS NOT NULL").drop("n"), "first")
+    # payloads stay where they are if the digests that repeat are few enough to send
+    first = broadcast_within(first, first.count(), MANY_DIGESTS)
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return full.join(first, ["digest", "size"], "left").select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), revisit.alias("revisit"))
 
@@ -88,7 +92,7 @@ def write_warc(spark: SparkSession, pages: DataFrame, path: str, min_bytes: int
 
     Spark's own file writer puts the files in place, so retries leave no half archive. It
     ends each row by a separator byte, and that is the last, zero byte of each gzip member. Columns
-    besides the three are ignored; an empty table writes no record.
+    besides the three are ignored; an empty table writes no record. A payload of any length that fits a row is written whole.
     """
     bound_arrow(spark)
 
@@ -113,7 +117,7 @@ def opened(path: str):
 
 
 class _Bytes:
-    """Bytes of a file from any place on, read in chunks; those before ``keep`` are forgotten."""
+    """Bytes of a file from any place on. ``at`` keeps a window that grows as far as it is asked to and forgets what lies before; ``peek`` keeps nothing."""
 
     def __init__(self, file):
         self.file, self.base, self.data = file, 0, b""
@@ -129,13 +133,19 @@ class _Bytes:
             self.data += more
         return self.data[start - self.base : start - self.base + size]
 
+    def peek(self, start: int, size: int) -> bytes:
+        if self.base <= start and start + size <= self.base + len(self.data):
+            return self.data[start - self.base : start - self.base + size]
+        self.file.seek(start)
+        return self.file.read(size)
+
     def forget(self, before: int) -> None:
         if before - self.base > 4 * _CHUNK:
             self.data, self.base = self.data[before - self.base :], before
 
 
 def _member_at(src: _Bytes, at: int) -> tuple[bytes, int] | None:
-    """(record, end) if a gzip member that holds a WARC record starts at ``at``."""
+    """(record, end) if a gzip member that holds a WARC record starts at ``at``. Of a long member only the decoded record is held, as its row will be."""
     z, out, pos = zlib.decompressobj(31), [], at
     try:
         probe = z.decompress(src.at(at, 512), 8)
@@ -143,7 +153,7 @@ def _member_at(src: _Bytes, at: int) -> tuple[bytes, int] | None:
             return None
         z, n = zlib.decompressobj(31), 0
         while not z.eof:
-            data = src.at(pos, _CHUNK)
+            data = src.peek(pos, _CHUNK)
             if not data:
                 return None
             out.append(z.decompress(data))
