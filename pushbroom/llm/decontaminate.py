@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shingles import shingle_hashes, word_hashes, words
+from .shingles import rolling, shingle_hashes, word_hashes, words
 from .store import bound_arrow
 
 WORDS, THRESHOLD, MISS = 5, 0.8, 1e-9
@@ -64,11 +64,13 @@ class Items:
         self.ids = [i for i, _ in items]
         self.classes: dict[tuple[int, int], list[tuple[int, np.ndarray]]] = defaultdict(list)
         self.sets: dict[int, set] = {}
+        self.hashes: dict[int, np.ndarray] = {}
         for n, ws in self.words.items():
             if ws:
                 h = shingle_hashes(self.hash(ws), k)
                 # items of fewer than k words are one shingle of their own length
                 self.classes[min(k, len(ws)), len(h).bit_length()].append((n, h))
+                self.hashes[n] = h
         self.loads = {c: load_of(math.ceil(threshold * (1 << c[1] - 1))) for c in self.classes}
         self.tables: dict[tuple, tuple] = {}
 
@@ -92,7 +94,8 @@ class Items:
         """(item number, containment) of the items that a text contains."""
         ws = words(text)
         h, tried = self.hash(ws), set()
-        by_length = {k: shingle_hashes(h, k, whole=False) for k in {c[0] for c in self.classes}}
+        in_order = {k: rolling(h, k) for k in {c[0] for c in self.classes}}
+        by_length = {k: np.unique(x) for k, x in in_order.items()}
         for c in self.classes:
             bins = n_bins(len(by_length[c[0]]), self.loads[c])
             keys, owner = self.table(c, bins)
@@ -100,12 +103,11 @@ class Items:
             at = np.minimum(np.searchsorted(keys, mins), len(keys) - 1)
             for key in mins[keys[at] == mins]:
                 tried.update((c[0], int(n)) for n in owner[np.searchsorted(keys, key) : np.searchsorted(keys, key, "right")])
-        out, own = [], {}
+        out = []
         for k, n in sorted(tried):
-            if k not in own:
-                own[k] = {b" ".join(ws[j : j + k]) for j in range(len(ws) - k + 1)}
             want = self.shingles(n, k)
-            held = len(want & own[k])
+            # only words at the item's own hashes are compared
+            held = len(want & {b" ".join(ws[j : j + k]) for j in np.flatnonzero(np.isin(in_order[k], self.hashes[n])).tolist()})
             if held >= self.threshold * len(want) - 1e-9:
                 out.append((n, held / len(want)))
         return out
@@ -116,7 +118,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame, k: int
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are ignored. Items and documents without words
     (null, empty, white space) match nothing; a null id stays null in the pair. An item of fewer than ``k`` words is one shingle of all its words.
-    Rows that repeat give pairs that repeat. Items are the stated query set: they are taken in blocks of ``block`` by
+    Rows that repeat give pairs that repeat, items that tie are all reported, and empty tables give an empty result. A text of any length is searched whole; its
+    shingles are held as eight bytes each. Items are the stated query set: they are taken in blocks of ``block`` by
     item_id order, and each block of bounded size goes to every document.
     """
     bound_arrow(spark)
