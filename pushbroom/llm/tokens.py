@@ -21,29 +21,31 @@ writer ends every row by a separator, which is the frame's end byte.
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 import re
+import string
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .store import Workspace, bound_arrow, partitions
+from .store import Workspace, bound_arrow, kept, partitions
 
 END_ID = 2
 SHARD_BYTES = 16 << 20
 _HEAD = struct.Struct("<QI")
-_RUN = re.compile(r"\s\s")
+#: Marks that a word may end in; an apostrophe may belong to it.
+_MARKS = string.punctuation.replace("'", "")
+_RUN, _SPACE = re.compile(r"\s\s"), re.compile(r"\s")
 _META = struct.Struct("<Bq")
 
 
-def masked(data: bytes) -> int:
+def masked(data: bytes | memoryview) -> int:
     c = zlib.crc32(data)
     return (((c >> 15) | (c << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
@@ -55,21 +57,30 @@ def frame(doc_id: int | None, ids: bytes, wide: bool) -> bytes:
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload))))
 
 
-def frames(content: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, frame length, payload) of each frame of a file; ValueError where a checksum fails."""
-    at, end = 0, len(content)
-    while at < end:
+def frames(content: bytes | memoryview, whole: bool = True) -> Iterator[tuple[int, int, memoryview]]:
+    """(offset, frame length, payload) of each frame of a file; ValueError where a checksum fails.
+
+    Unless ``whole``, only the lengths' checksums are held against the bytes.
+    """
+    content, at = memoryview(content), 0
+    while at < len(content):
         size, check = _HEAD.unpack_from(content, at)
         if masked(content[at : at + 8]) != check:
             raise ValueError(f"length checksum fails at {at}")
         payload = content[at + 12 : at + 12 + size]
-        if masked(payload) != struct.unpack_from("<I", content, at + 12 + size)[0] or content[at + 16 + size]:
+        if whole and (masked(payload) != struct.unpack_from("<I", content, at + 12 + size)[0] or content[at + 16 + size]):
             raise ValueError(f"payload checksum fails at {at}")
         yield at, size + 17, payload
         at += size + 17
 
 
-def parse(payload: bytes) -> tuple[int | None, np.ndarray]:
+def head(payload: bytes | memoryview) -> tuple[int | None, int]:
+    """doc_id and number of ids, without the ids."""
+    flags, doc_id = _META.unpack_from(payload)
+    return doc_id if flags & 1 else None, (len(payload) - _META.size) // (4 if flags & 2 else 2)
+
+
+def parse(payload: bytes | memoryview) -> tuple[int | None, np.ndarray]:
     flags, doc_id = _META.unpack_from(payload)
     return doc_id if flags & 1 else None, np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=_META.size)
 
@@ -83,7 +94,7 @@ class Encoder:
     encoded as they are. Of the pieces seen last, between ``limit`` and twice as many are remembered.
     """
 
-    def __init__(self, path: str, limit: int = 350_000):
+    def __init__(self, path: str, limit: int = 250_000):
         # its threads would wait for each other over the few new pieces of a text; Spark's tasks are the parallelism
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -92,14 +103,20 @@ class Encoder:
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        made = json.loads(self.tokenizer.to_str())
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        made = {k: made.get(k) for k in ("normalizer", "pre_tokenizer")}
         pre = made["pre_tokenizer"] or {}
+        # a byte-level vocabulary writes a space and a line end as these two letters
+        vocab = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.begins[[i for t, i in vocab.items() if t[0] in "\u0120\u010a"]] = True
         self.by_piece = made["normalizer"] is None and (pre.get("type"), pre.get("add_prefix_space"), pre.get("use_regex")) == ("ByteLevel", False, True)
 
     def __call__(self, text: str | None) -> bytes:
         return next(self.many([text]))
 
-    def many(self, texts: list[str | None], hold: int = 1_000_000) -> Iterator[bytes]:
+    def many(self, texts: list[str | None], hold: int = 500_000) -> Iterator[bytes]:
         """Ids of each text; new pieces of about ``hold`` characters of texts are encoded in one call."""
         held: list[list[str] | bytes] = []
         size = 0
@@ -114,43 +131,48 @@ class Encoder:
             if size >= hold or n == len(texts) - 1:
                 if len(self.known) > self.limit:
                     self.known, self.older = {}, self.known
-                self._learn({p for h in held if isinstance(h, list) for p in h}.difference(self.known))
+                pieces = set().union(*(h for h in held if isinstance(h, list)))
+                self._learn(pieces.difference(self.known))
                 for h in held:
                     yield h if isinstance(h, bytes) else b"".join(map(self.known.__getitem__, h))
                 held, size = [], 0
 
     def _learn(self, pieces: set[str]) -> None:
         """Encodes pieces; of a word with marks after it, the word and the marks, which no encoding joins, are encoded once each."""
-        known, older, parts, new = self.known, self.older, [], set()
-
-        def need(p: str) -> None:
-            if p not in known:
-                if (v := older.get(p)) is None:
-                    new.add(p)
-                else:
-                    known[p] = v
-
-        for p in pieces:
-            n = 0 if p in older or p[-1].isalnum() else self._marks_at(p)
-            if n:
-                parts.append((p, p[:n], p[n:]))
-                need(p[:n])
-                need(p[n:])
-            else:
-                need(p)
-        wanted = list(new)
-        for p, e in zip(wanted, self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)):
-            known[p] = np.array(e.ids, self.kind).tobytes()
-        for p, word, marks in parts:
-            known[p] = known[word] + known[marks]
+        known, older = self.known, self.older
+        carried = {p: older[p] for p in pieces if p in older}
+        known.update(carried)
+        fresh = pieces.difference(carried)
+        marked = {p: n for p in fresh if p[-1] in _MARKS and (n := self._marks_at(p))}
+        wanted = fresh.difference(marked)
+        for p, n in marked.items():
+            wanted.add(p[:n])
+            wanted.add(p[n:])
+        wanted = wanted.difference(known)
+        carried = {p: older[p] for p in wanted if p in older}
+        known.update(carried)
+        self._encode(wanted.difference(carried))
+        for p, n in marked.items():
+            known[p] = known[p[:n]] + known[p[n:]]
+
+    def _encode(self, pieces: set[str], joined: int = 20_000) -> None:
+        """Encodes pieces; those of a space or line end and a word are encoded as one text, in which only their first tokens begin with either."""
+        plain = [p for p in pieces if p[0] in " \n" and p[1:].isalpha() or p[0] in " \n" and not _SPACE.search(p, 1)]
+        for k in range(0, len(plain), joined):
+            part = plain[k : k + joined]
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
+            at = (np.flatnonzero(self.begins[ids]) * self.kind.itemsize).tolist()
+            whole = ids.tobytes()
+            self.known.update(zip(part, (whole[i:j] for i, j in zip(at, [*at[1:], len(whole)])), strict=True))
+        others = list(pieces.difference(plain))
+        for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, self.kind).tobytes()
 
     @staticmethod
     def _marks_at(piece: str) -> int:
         """Where the marks after a word of letters begin; 0 if the piece is not such a word."""
-        n = len(piece)
-        while n and not (piece[n - 1].isalnum() or piece[n - 1].isspace() or piece[n - 1] == "'"):
-            n -= 1
-        return n if 0 < n < len(piece) and piece[:n].lstrip(" \n").isalpha() else 0
+        word = piece.rstrip(_MARKS)
+        return len(word) if word.lstrip(" \n").isalpha() else 0
 
     @staticmethod
     def cut(text: str) -> list[str]:
@@ -169,10 +191,9 @@ class Encoder:
         return out
 
 
-@functools.lru_cache(1)
 def encoder(path: str) -> Encoder:
     """The worker process's encoder, which its tasks share."""
-    return Encoder(path)
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 def encode_frames(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
@@ -198,13 +219,42 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str
     Null and empty texts become the end id alone. Rows that repeat stay, in the order of
     a hash of their texts. An empty table writes no frame. Columns besides the two are ignored.
     """
+    _write_data(spark, docs, tokenizer, path, end_id, shard_bytes)
+    offsets(spark, path).write.parquet(f"{path}/index")
+
+
+def _write_data(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
     bound_arrow(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     key = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = docs.select("doc_id", "text").repartitionByRange(max(1, -(-size // shard_bytes), partitions(spark) if size > shard_bytes else 1), *key)
     encoded = encode_frames(dealt.sortWithinPartitions(*key), tokenizer, end_id)
     encoded.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\0").option("compression", "none").text(f"{path}/data")
-    scan(spark, path).select("file", "at", "bytes", "doc_id", "n_tokens").write.parquet(f"{path}/index")
+
+
+def _files(spark: SparkSession, path: str, read: Callable[[str, memoryview], Iterator[tuple]], fields: dict[str, str]) -> DataFrame:
+    """Rows that ``read`` yields from the name and content of each data file."""
+    kinds = {"string": pa.string(), "long": pa.int64()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept("files", dict)  # the encoder's pieces are not needed beside whole files
+        for b in batches:
+            for name, content in zip(b.column(0).to_pylist(), b.column(1)):
+                if rows := list(read(name, memoryview(content.as_buffer()))):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows), fields.values())], list(fields))
+
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
+    return files.select(F.regexp_extract("path", r"(part-\d+)[^/]*$", 1), "content").mapInArrow(run, ", ".join(f"{k} {v}" for k, v in fields.items()))
+
+
+def offsets(spark: SparkSession, path: str) -> DataFrame:
+    """(file, at, bytes, doc_id, n_tokens) of every frame of ``path``/data, from the frames' heads and the lengths' checksums."""
+
+    def read(name: str, content: memoryview) -> Iterator[tuple]:
+        for at, size, payload in frames(content, whole=False):
+            yield name, at, size, *head(payload)
+
+    return _files(spark, path, read, {k: _SCANNED[k] for k in ("file", "at", "bytes", "doc_id", "n_tokens")})
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -212,33 +262,29 @@ def scan(spark: SparkSession, path: str) -> DataFrame:
 
     Rows: file, at (offset), bytes (length of the frame), nth (its place in the file), doc_id, n_tokens,
     before (tokens of the file before it), ids_crc32 (of the ids as unsigned 32-bit integers).
+    A file is read in one piece, so one text's ids must stay below two gigabytes.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1)):
-                rows, before = [], 0
-                for n, (at, size, payload) in enumerate(frames(content.as_py())):
-                    doc_id, ids = parse(payload)
-                    rows.append((name, at, size, n, doc_id, len(ids), before, zlib.crc32(ids.astype("<u4").tobytes())))
-                    before += len(ids)
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.string()] + [pa.int64()] * 7)], list(_SCANNED))
+    def read(name: str, content: memoryview) -> Iterator[tuple]:
+        before = 0
+        for n, (at, size, payload) in enumerate(frames(content)):
+            doc_id, ids = parse(payload)
+            yield name, at, size, n, doc_id, len(ids), before, zlib.crc32(ids.astype("<u4"))
+            before += len(ids)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
-    return files.select(F.regexp_extract("path", r"(part-\d+)[^/]*$", 1), "content").mapInArrow(run, ", ".join(f"{k} {v}" for k, v in _SCANNED.items()))
+    return _files(spark, path, read, _SCANNED)
 
 
 _SCANNED = {"file": "string", "at": "long", "bytes": "long", "nth": "long", "doc_id": "long", "n_tokens": "long", "before": "long", "ids_crc32": "long"}
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document in ``path``; start counts all ids before it.
+    """(doc_id, start, n_tokens, ids_crc32) of every document in ``path``; start counts all ids before it."""
+    return _with_starts(scan(spark, path), spark.read.parquet(f"{path}/index"))
 
-    Only the totals of files meet in one task: a row each, of files of bounded size.
-    """
-    rows = scan(spark, path)
-    index = spark.read.parquet(f"{path}/index")
+
+def _with_starts(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Only the totals of files meet in one task: a row each, of files of bounded size."""
     order = Window.orderBy(F.length("file"), "file").rowsBetween(Window.unboundedPreceding, -1)
     starts = index.groupBy("file").agg(F.sum("n_tokens").alias("n")).select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
     return rows.join(starts, "file").select("doc_id", (F.col("base") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
@@ -255,7 +301,13 @@ def read_shuffled(spark: SparkSession, path: str, seed: int = 0) -> DataFrame:
 
 
 def token_table(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str | None = None) -> DataFrame:
-    """Writes ``docs`` as token records, by default to a folder of the shared root, and reads them back."""
-    path = path or Workspace(spark, "tokens").folder("records")
-    write_tokens(spark, docs, tokenizer, path)
-    return read_tokens(spark, path)
+    """Writes ``docs`` as token records, by default to a folder of the shared root, and reads them back.
+
+    The files are read whole once, with both checksums; what that finds is kept as a table, of which the index is a part.
+    """
+    ws = Workspace(spark, "tokens")
+    path = path or ws.folder("records")
+    _write_data(spark, docs, tokenizer, path)
+    rows = ws.table(scan(spark, path), "scanned")
+    rows.select("file", "at", "bytes", "doc_id", "n_tokens").write.parquet(f"{path}/index")
+    return _with_starts(rows, rows)
