@@ -48,8 +48,8 @@ PER_SHINGLE, LEAST_SLICE = 0.8, 16
 LOCAL = 64
 #: Members and shingles of a block of a large group, about.
 BLOCK, BLOCK_SHINGLES = 400, 400_000
-#: Rounds in which groups of over so many blocks try another leader, and pairs that a unit reports for each member at most.
-ROUNDS, BLOCKS_TO_LEAD, DENSE = 5, 10, 4
+#: Rounds in which groups of over so many blocks try another leader, blocks whose bitmaps are held together, and pairs that a unit reports for each member at most.
+ROUNDS, BLOCKS_TO_LEAD, OPEN_BLOCKS, DENSE = 5, 10, 5, 1
 #: Classes up to which the rows that ask for their texts are broadcast (about 30 bytes each).
 MANY_CLASSES = 200_000
 
@@ -324,7 +324,8 @@ class _Join:
         self.sets = met.where("n IS NOT NULL").select("doc_id", "n", "key", "bits")
         self.entries = self.ws.table(entry_table(met, n_parts), "entries")
         keys = self.entries.select(F.explode(F.array("key", "lead")).alias("key")).distinct()
-        least = self.linkable().join(keys, "key", "left_semi").groupBy("key").agg(F.min(F.struct("doc_id", "n", "bits")).alias("of"))
+        # copies of a class are combined before they are dealt
+        least = self.linkable().groupBy("key").agg(F.min(F.struct("doc_id", "n", "bits")).alias("of")).join(keys, "key", "left_semi")
         #: a row for each class that shares a signature
         self.nodes = self.ws.table(least.select("key", F.col("of.doc_id").alias("rep"), F.col("of.n").alias("n"), F.col("of.bits").alias("bits")), "nodes")
 
@@ -461,14 +462,14 @@ def _open_units() -> Column:
     """
     unit = lambda i, j, right: F.struct(i.alias("i"), j.alias("j"), right.alias("right"))
     zero = F.lit(0).cast("long")
-    blocks = lambda n: F.ceil(n / BLOCK)
+    blocks = lambda n: F.ceil(n / (OPEN_BLOCKS * BLOCK))
     outer, inner = blocks(F.col("members") - F.col("most")), blocks(F.col("most"))
     out, into = F.pmod(F.xxhash64("key"), outer), F.pmod(F.xxhash64("key"), inner)
     own = F.transform(own_pairs(out, outer), lambda p: unit(p["i"], p["j"], p["right"]))
     inward = F.transform(F.sequence(zero, inner - 1), lambda j: unit(out, -1 - j, F.lit(False)))
     outward = F.transform(F.sequence(zero, outer - 1), lambda i: unit(i, -1 - into, F.lit(True)))
     large = F.when(F.col("label") == F.col("common"), outward).otherwise(F.concat(own, inward))
-    return F.when(F.col("members") <= BLOCK, F.array(unit(zero, zero, F.lit(False)))).otherwise(large)
+    return F.when(F.col("members") <= OPEN_BLOCKS * BLOCK, F.array(unit(zero, zero, F.lit(False)))).otherwise(large)
 
 
 def _open_pairs(percent: int):
