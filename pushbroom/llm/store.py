@@ -103,7 +103,7 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     return _KEPT[key]
 
 
-def bound_arrow(spark: SparkSession, rows: int = 4000, size: str = "16m") -> None:
+def bound_arrow(spark: SparkSession, rows: int = 2000, size: str = "4m") -> None:
     """Bounds the session's Arrow batches to so many rows and bytes, and lets workers import this package.
 
     Texts vary from nothing to many megabytes, so a row count alone bounds no memory.
