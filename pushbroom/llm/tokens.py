@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import string
 import struct
 import zlib
@@ -31,6 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,9 +39,8 @@ from .store import Workspace, bound_arrow, kept, partitions
 END_ID = 2
 SHARD_BYTES = 16 << 20
 _HEAD = struct.Struct("<QI")
-#: Marks that a word may end in; an apostrophe may belong to it.
-_MARKS = string.punctuation.replace("'", "")
-_RUN, _SPACE = re.compile(r"\s\s"), re.compile(r"\s")
+#: A space or line end, and characters that are no white space.
+_PLAIN = r"^[ \n][^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+\z"
 _META = struct.Struct("<Bq")
 
 
@@ -85,21 +84,66 @@ def parse(payload: bytes | memoryview) -> tuple[int | None, np.ndarray]:
     return doc_id if flags & 1 else None, np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=_META.size)
 
 
+def _classes() -> np.ndarray:
+    """By byte: 1 white space, 2 a letter, 3 a mark that always ends a word (an apostrophe may belong to one), 4 a byte of a longer character."""
+    out = np.zeros(256, np.uint8)
+    for kind, chars in ((1, "\t\n\v\f\r\x1c\x1d\x1e\x1f "), (2, string.ascii_letters), (3, string.punctuation.replace("'", ""))):
+        out[list(chars.encode())] = kind
+    out[128:] = 4
+    return out
+
+
+_CLASS = _classes()
+
+
+def _wide_space(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space beyond ASCII begins at each place of ``at``."""
+    a, b, c = (np.take(raw, at + k, mode="clip") for k in range(3))
+    general = (b == 0x80) & ((c >= 0x80) & (c <= 0x8A) | np.isin(c, (0xA8, 0xA9, 0xAF))) | (b == 0x81) & (c == 0x9F)
+    return (a == 0xC2) & ((b == 0x85) | (b == 0xA0)) | (a == 0xE1) & (b == 0x9A) & (c == 0x80) | (a == 0xE2) & general | (a == 0xE3) & (b == 0x80) & (c == 0x80)
+
+
+def cuts(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts begin: ``raw`` are the texts' bytes and ``at`` their limits.
+
+    A piece ends before a space or line end between two characters that are no white space, and between a letter and a mark.
+    """
+    kind = _CLASS[raw]
+    start, edge = np.zeros(len(raw) + 1, bool), np.zeros(len(raw) + 2, bool)
+    edge[at] = True
+    k = np.flatnonzero((raw == 32) | (raw == 10))
+    k = k[(k > 0) & ~edge[k + 1]]
+    before, after = kind[k - 1], kind[k + 1]
+    good = (before != 1) & (after != 1)
+    wide = np.flatnonzero(good & ((before == 4) | (after == 4)))
+    w = k[wide]
+    # a character of two bytes begins two bytes before, and its lead byte is none of a longer one's
+    good[wide] = ~(_wide_space(raw, w + 1) | _wide_space(raw, np.maximum(w - 2, 0)) & (raw[np.maximum(w - 2, 0)] == 0xC2) | _wide_space(raw, np.maximum(w - 3, 0)) & (raw[np.maximum(w - 3, 0)] >= 0xE1))
+    start[k[good]] = True
+    m = np.flatnonzero(kind == 3)
+    last = raw[m - 1]
+    start[m[(kind[m - 1] == 2) | (raw[np.maximum(m - 2, 0)] == 0xC3) & (last >= 0x80) & (last != 0x97) & (last != 0xB7)]] = True
+    start[at] = True
+    return np.flatnonzero(start[:-1])
+
+
 class Encoder:
     """Encodes whole texts, encoding each distinct piece once.
 
-    A byte-level pre-tokenizer never joins text across a single space or line end that stands
-    between two other characters, so a text cut before those encodes as
-    its pieces do. Other texts, and those with a special token's string, are
-    encoded as they are. Of the pieces seen last, between ``limit`` and twice as many are remembered.
+    A byte-level pre-tokenizer never joins text across a single space or line end that stands between two other characters, nor a letter and the
+    mark after it, so a text cut there encodes as its pieces do. Pieces are cut, looked up and put together in Arrow and numpy. Texts with a
+    special token's string are encoded as they are. Of the pieces seen last, between half of ``limit`` and ``limit`` are remembered, but none of
+    more than 60 bytes.
     """
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 200_000):
         # its threads would wait for each other over the few new pieces of a text; Spark's tasks are the parallelism
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.known, self.older = Tokenizer.from_file(path), limit, {}, {}
+        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        #: Pieces that are remembered, their ids, and the block that last had them.
+        self.words, self.ids, self.used, self.turn = pa.array([], pa.string()), pa.array([], pa.binary()), np.empty(0, np.int64), 0
         self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.kind = np.dtype("<u4" if self.wide else "<u2")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -116,79 +160,89 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         return next(self.many([text]))
 
-    def many(self, texts: list[str | None], hold: int = 500_000) -> Iterator[bytes]:
-        """Ids of each text; new pieces of about ``hold`` characters of texts are encoded in one call."""
-        held: list[list[str] | bytes] = []
-        size = 0
-        for n, text in enumerate(texts):
-            if not text:
-                held.append([])
-            elif not self.by_piece or any(s in text for s in self.special):
-                held.append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
-            else:
-                held.append(self.cut(text))
-                size += len(text)
-            if size >= hold or n == len(texts) - 1:
-                if len(self.known) > self.limit:
-                    self.known, self.older = {}, self.known
-                pieces = set().union(*(h for h in held if isinstance(h, list)))
-                self._learn(pieces.difference(self.known))
-                for h in held:
-                    yield h if isinstance(h, bytes) else b"".join(map(self.known.__getitem__, h))
-                held, size = [], 0
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encodes pieces; of a word with marks after it, the word and the marks, which no encoding joins, are encoded once each."""
-        known, older = self.known, self.older
-        carried = {p: older[p] for p in pieces if p in older}
-        known.update(carried)
-        fresh = pieces.difference(carried)
-        marked = {p: n for p in fresh if p[-1] in _MARKS and (n := self._marks_at(p))}
-        wanted = fresh.difference(marked)
-        for p, n in marked.items():
-            wanted.add(p[:n])
-            wanted.add(p[n:])
-        wanted = wanted.difference(known)
-        carried = {p: older[p] for p in wanted if p in older}
-        known.update(carried)
-        self._encode(wanted.difference(carried))
-        for p, n in marked.items():
-            known[p] = known[p[:n]] + known[p[n:]]
-
-    def _encode(self, pieces: set[str], joined: int = 20_000) -> None:
-        """Encodes pieces; those of a space or line end and a word are encoded as one text, in which only their first tokens begin with either."""
-        plain = [p for p in pieces if p[0] in " \n" and p[1:].isalpha() or p[0] in " \n" and not _SPACE.search(p, 1)]
-        for k in range(0, len(plain), joined):
-            part = plain[k : k + joined]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, self.kind)
-            at = (np.flatnonzero(self.begins[ids]) * self.kind.itemsize).tolist()
-            whole = ids.tobytes()
-            self.known.update(zip(part, (whole[i:j] for i, j in zip(at, [*at[1:], len(whole)])), strict=True))
-        others = list(pieces.difference(plain))
-        for p, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, self.kind).tobytes()
-
-    @staticmethod
-    def _marks_at(piece: str) -> int:
-        """Where the marks after a word of letters begin; 0 if the piece is not such a word."""
-        word = piece.rstrip(_MARKS)
-        return len(word) if word.lstrip(" \n").isalpha() else 0
-
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        if not text[0].isspace() and not text[-1].isspace() and "\0" not in text and not _RUN.search(text):
-            return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        first, *rest = text.split(" ")
-        out, hold = [], first
-        for w in rest:
-            # only a space between two characters that are no white space is a safe cut
-            if w and hold and not w[0].isspace() and not hold[-1].isspace():
-                out.append(hold)
-                hold = " " + w
-            else:
-                hold += " " + w
-        out.append(hold)
-        return out
+    def many(self, texts: list[str | None] | pa.Array, hold: int = 2_000_000) -> Iterator[bytes]:
+        """Ids of each text; texts of about ``hold`` bytes are cut at once."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.string()).fill_null("")
+        if not len(texts):
+            return
+        at = np.frombuffer(texts.buffers()[1], "<i4", len(texts) + 1, texts.offset * 4).astype(np.int64)
+        first = 0
+        while first < len(texts):
+            end = max(first + 1, int(np.searchsorted(at, at[first] + hold, "right")) - 1)
+            yield from self._block(texts[first:end], at[first : end + 1])
+            first = end
+
+    def _block(self, texts: pa.Array, at: np.ndarray) -> Iterator[bytes]:
+        if at[0] == at[-1]:
+            yield from [b""] * len(texts)
+            return
+        data = texts.buffers()[2]
+        raw = np.frombuffer(data, np.uint8, int(at[-1] - at[0]), int(at[0]))
+        at, content = at - at[0], raw.tobytes()
+        marked = [s.encode() for s in self.special if s.encode() in content] if self.by_piece else [b""]
+        odd = {n for n in range(len(texts)) if any(s in content[at[n] : at[n + 1]] for s in marked)}
+        alone = {n: np.array(self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids, self.kind).tobytes() for n in odd}
+        if odd:
+            content = b"".join(content[i:j] for n, (i, j) in enumerate(zip(at, at[1:])) if n not in odd)
+            sizes = np.diff(at)
+            sizes[list(odd)] = 0
+            raw, at = np.frombuffer(content, np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+        starts = cuts(raw, at) if len(raw) else np.empty(0, np.int64)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(raw)).astype("<i4")), pa.py_buffer(content)).dictionary_encode()
+        ids = self._known(pieces.dictionary).take(pieces.indices)
+        ends = np.frombuffer(ids.buffers()[1], "<i4", len(ids) + 1, ids.offset * 4)[np.searchsorted(starts, at)].tolist() if len(ids) else [0] * len(at)
+        out = memoryview(ids.buffers()[2] or b"")
+        for n, (i, j) in enumerate(zip(ends, ends[1:])):
+            yield alone[n] if n in odd else bytes(out[i:j])
+
+    def _known(self, pieces: pa.StringArray) -> pa.BinaryArray:
+        """Ids of each of distinct pieces, remembered or new."""
+        at = pc.index_in(pieces, value_set=self.words)
+        new = at.is_null()
+        fresh = pieces.filter(new)
+        ids, place = self._encoded(fresh)
+        self.turn += 1
+        held = at.drop_null().to_numpy()
+        self.used[held] = self.turn
+        index = np.empty(len(pieces), np.int64)
+        index[new.to_numpy(zero_copy_only=False)] = len(self.words) + place
+        index[at.is_valid().to_numpy(zero_copy_only=False)] = held
+        every = pa.concat_arrays([self.ids, ids])
+        short = pc.less_equal(pc.binary_length(fresh), 60)
+        self.words = pa.concat_arrays([self.words, fresh.filter(short)])
+        self.ids = pa.concat_arrays([self.ids, ids.take(pa.array(place)).filter(short)])
+        self.used = np.append(self.used, np.full(len(self.words) - len(self.used), self.turn))
+        if len(self.words) > self.limit:
+            keep = np.sort(np.argsort(-self.used, kind="stable")[: self.limit // 2])
+            self.words, self.ids, self.used = self.words.take(pa.array(keep)), self.ids.take(pa.array(keep)), self.used[keep]
+        return every.take(pa.array(index))
+
+    def _encoded(self, pieces: pa.StringArray, joined: int = 1000) -> tuple[pa.BinaryArray, np.ndarray]:
+        """Ids of pieces in an order of its own, and each piece's place in it.
+
+        Pieces of a space or line end and a word are encoded as one text, in which only their first tokens begin with either.
+        """
+        plain = pc.match_substring_regex(pieces, _PLAIN).to_numpy(zero_copy_only=False).astype(bool)
+        part = pieces.filter(pa.array(plain))
+        at = np.frombuffer(part.buffers()[1], "<i4", len(part) + 1, part.offset * 4) if len(part) else np.zeros(1, "<i4")
+        content = memoryview(part.buffers()[2] or b"")
+        ids, starts, size = [], [], 0
+        for k in range(0, len(part), joined):
+            end = min(len(part), k + joined)
+            got = np.array(self.tokenizer.encode_batch_fast([str(content[at[k] : at[end]], "utf-8")], add_special_tokens=False)[0].ids, self.kind)
+            first = np.flatnonzero(self.begins[got])
+            if len(first) != end - k:
+                raise ValueError("pieces do not begin with a token of their own")
+            ids.append(got)
+            starts.append(first + size)
+            size += len(got)
+        offsets = (np.concatenate([*starts, [size]]) * self.kind.itemsize).astype("<i4")
+        data = np.concatenate([np.empty(0, self.kind), *ids]).tobytes()
+        others = pieces.filter(pa.array(~plain)).to_pylist()
+        alone = [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        place = np.empty(len(pieces), np.int64)
+        place[plain], place[~plain] = np.arange(len(part)), len(part) + np.arange(len(others))
+        return pa.concat_arrays([pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(data)]), pa.array(alone, pa.binary())]), place
 
 
 def encoder(path: str) -> Encoder:
@@ -203,7 +257,7 @@ def encode_frames(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> Data
         encode = encoder(tokenizer)
         end = np.array([end_id], encode.kind).tobytes()
         for b in batches:
-            ids = encode.many(b.column(1).to_pylist())
+            ids = encode.many(b.column(1))
             out = [frame(i, t + end, encode.wide) for i, t in zip(b.column(0).to_pylist(), ids)]
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
