@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .store import Workspace, bound_arrow, kept, partitions
+from .warc import opened
 
 END_ID = 2
 SHARD_BYTES = 16 << 20
@@ -287,18 +288,20 @@ def _write_data(spark: SparkSession, docs: DataFrame, tokenizer: str, path: str,
 
 
 def _files(spark: SparkSession, path: str, read: Callable[[str, memoryview], Iterator[tuple]], fields: dict[str, str]) -> DataFrame:
-    """Rows that ``read`` yields from the name and content of each data file."""
+    """Rows that ``read`` yields from the name and content of each data file, which its worker opens, so the JVM holds no whole file."""
     kinds = {"string": pa.string(), "long": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept("files", dict)  # the encoder's pieces are not needed beside whole files
         for b in batches:
-            for name, content in zip(b.column(0).to_pylist(), b.column(1)):
-                if rows := list(read(name, memoryview(content.as_buffer()))):
+            for name, at in zip(*(c.to_pylist() for c in b.columns)):
+                with opened(at) as file:
+                    content = file.read()
+                if rows := list(read(name, memoryview(content))):
                     yield pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, k in zip(zip(*rows), fields.values())], list(fields))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/data")
-    return files.select(F.regexp_extract("path", r"(part-\d+)[^/]*$", 1), "content").mapInArrow(run, ", ".join(f"{k} {v}" for k, v in fields.items()))
+    return files.select(F.regexp_extract("path", r"(part-\d+)[^/]*$", 1), "path").mapInArrow(run, ", ".join(f"{k} {v}" for k, v in fields.items()))
 
 
 def offsets(spark: SparkSession, path: str) -> DataFrame:

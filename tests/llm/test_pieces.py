@@ -32,3 +32,12 @@ def test_an_encoder_gives_whole_texts_and_remembers_few_pieces():
         assert list(encode.many(texts, hold)) == want
     assert list(encode.many(pa.array(texts, pa.string())[5:])) == want[5:]
     assert len(encode.words) <= 50 and max(map(len, encode.words.to_pylist())) <= 60
+
+
+def test_files_are_opened_by_workers(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one text"), (2, None)], "doc_id long, text string")
+    path = f"file://{tmp_path}/tokens with a space"
+    tokens.write_tokens(spark, docs, registry.vocabulary(), path)
+    rows = tokens.scan(spark, path)
+    assert "content" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert [(r.doc_id, r.nth) for r in rows.collect()] == [(1, 0), (2, 1)]
